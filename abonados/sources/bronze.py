@@ -41,9 +41,9 @@ def read_arrays(spark: SparkSession, path, mode: str = "FAILFAST") -> DataFrame:
 def as_bronze(documents: DataFrame, loaded_at: Column | None = None) -> DataFrame:
     """Adds the load time, constant in one load, and a unique row number.
 
-    The row number grows with the position in the input and leaves gaps between
-    partitions, so no pass over all rows and no single task is needed. It is
-    stored with the row; later layers must never compute it again.
+    The row number grows with the position in a file and leaves gaps between
+    partitions, so no second pass and no single task is needed. It is stored with
+    the row; later layers must never compute it again.
     """
     return documents.select(
         F.col(DOCUMENT),

@@ -36,7 +36,9 @@ class LayerStore:
 
     def write(self, layer: str, table: str, df: DataFrame, bucket_by: str | None = None) -> DataFrame:
         """Full refresh. With buckets, later joins on the column need no shuffle."""
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database(layer)}")
+        self.spark.sql(
+            f"CREATE DATABASE IF NOT EXISTS {self.database(layer)} LOCATION '{self.root}/{layer}'"
+        )
         load = f"{table}__{uuid.uuid4().hex}"
         writer = df.write.format("parquet").option("path", f"{self.root}/{layer}/{load}")
         if bucket_by and self.buckets:

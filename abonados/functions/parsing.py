@@ -26,10 +26,15 @@ def parse_timestamp(text: Column, strict: bool = False) -> Column:
 
     An offset in an ISO text is not applied: the wall-clock time is kept.
     """
-    to_timestamp = F.to_timestamp if strict else F.try_to_timestamp
+    month_first = "MM-dd-yyyy"
+    parsed = (
+        F.to_timestamp(text, month_first)
+        if strict
+        else F.try_to_timestamp(text, F.lit(month_first))
+    )
     return (
         F.when(text.rlike(V.ISO_DATETIME), convert(text, "timestamp_ntz", strict).cast("timestamp"))
-        .when(text.rlike(V.MONTH_DAY_YEAR), to_timestamp(text, F.lit("MM-dd-yyyy")))
+        .when(text.rlike(V.MONTH_DAY_YEAR), parsed)
         .when(text.rlike(V.YEAR_MONTH_DAY), convert(text, "date", strict).cast("timestamp"))
     )
 

@@ -22,7 +22,8 @@ class Model:
     """How a table or view comes from others.
 
     ``inputs`` are handed to ``build`` in order, followed by ``as_of`` where
-    ``dated`` is set.
+    ``dated`` is set. Tables that are joined by customer are stored in buckets of
+    customers; ``gather`` says that the result is not partitioned that way yet.
     """
 
     name: str
@@ -33,6 +34,7 @@ class Model:
     view: bool = False
     dated: bool = False
     bucket_by: str | None = None
+    gather: bool = False
 
     def apply(self, tables: Tables, as_of: Column | None = None) -> DataFrame:
         given = [tables[name] for name in self.inputs]
@@ -56,11 +58,11 @@ MODELS: dict[str, Model] = {
         ),
         Model(
             K.SERVICES, "silver", silver.customer_services, (K.BRONZE, K.DIM_SERVICES),
-            ("silver", "customers", "services", "bridge"), dated=True,
+            ("silver", "customers", "services", "bridge"), dated=True, bucket_by="customer_id", gather=True,
         ),
         Model(
             K.ANALYTICS, "gold", gold.customer_analytics, (K.CUSTOMERS, K.PAYMENTS, K.SERVICES),
-            ("gold", "analytics", "customers"), dated=True,
+            ("gold", "analytics", "customers"), dated=True, bucket_by="customer_id",
         ),
         _view("acquisition_trends_operator", "time", "operator"),
         _view("age_dist_country_operator", "age", "country_operator"),
@@ -115,7 +117,9 @@ def build(store: LayerStore, models: list[Model], as_of: Column | None = None) -
             result.createOrReplaceTempView(model.name)
             tables[model.name] = result
         else:
-            tables[model.name] = store.write(model.layer, model.name, result, model.bucket_by)
+            tables[model.name] = store.write(
+                model.layer, model.name, result, model.bucket_by, model.gather
+            )
     return tables
 
 

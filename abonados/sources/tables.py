@@ -7,6 +7,16 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def fitting_buckets(spark: SparkSession) -> int:
+    """Buckets such that every shuffle partition falls into a single one.
+
+    That is a divisor of the number of shuffle partitions, at most four per core.
+    """
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    most = min(partitions, 4 * spark.sparkContext.defaultParallelism)
+    return max(n for n in range(1, most + 1) if partitions % n == 0)
+
+
 class LayerStore:
     """Catalog tables, one database per layer, files below one root folder.
 
@@ -34,14 +44,28 @@ class LayerStore:
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.table(self.name(layer, table))
 
-    def write(self, layer: str, table: str, df: DataFrame, bucket_by: str | None = None) -> DataFrame:
-        """Full refresh. With buckets, later joins on the column need no shuffle."""
+    def write(
+        self,
+        layer: str,
+        table: str,
+        df: DataFrame,
+        bucket_by: str | None = None,
+        gather: bool = False,
+    ) -> DataFrame:
+        """Full refresh. With buckets, later joins on the column need no shuffle.
+
+        A frame that is not partitioned by the column yet is to be ``gathered``
+        first, or each task would write a file for each bucket.
+        """
         self.spark.sql(
             f"CREATE DATABASE IF NOT EXISTS {self.database(layer)} LOCATION '{self.root}/{layer}'"
         )
         load = f"{table}__{uuid.uuid4().hex}"
+        bucketed = bucket_by and self.buckets
+        if bucketed and gather:
+            df = df.repartition(self.buckets, bucket_by)
         writer = df.write.format("parquet").option("path", f"{self.root}/{layer}/{load}")
-        if bucket_by and self.buckets:
+        if bucketed:
             writer = writer.bucketBy(self.buckets, bucket_by).sortBy(bucket_by)
         writer.saveAsTable(self.name(layer, load))
         self.spark.sql(

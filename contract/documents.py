@@ -126,7 +126,9 @@ def _accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.max("o_orderdate").alias("last_order"),
         )
     )
-    return customer.join(by_block, "c_custkey", "left").withColumn(
+    # Making documents is the work here, so even a small table is spread over all cores.
+    spread = customer.repartition(spark.sparkContext.defaultParallelism, "c_custkey")
+    return spread.join(by_block, "c_custkey", "left").withColumn(
         "block", F.coalesce("block", F.lit(0))
     )
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from abonados.plans import checks as K
 from abonados.plans.job import MODELS
 from abonados.session import shared_dir
-from abonados.sources.tables import LayerStore
+from abonados.sources.tables import LayerStore, fitting_buckets
 from contract import documents
 
 AS_OF = documents.AS_OF
@@ -23,8 +23,7 @@ def layer_store(spark: SparkSession, sf_dir: str) -> LayerStore:
     if (app, sf_dir) not in _STORES:
         mark = hashlib.md5(sf_dir.encode()).hexdigest()[:8]
         root = f"{shared_dir(spark)}/abonados-{app}-{mark}"
-        buckets = spark.sparkContext.defaultParallelism
-        _STORES[app, sf_dir] = LayerStore(spark, root, f"abonados_{mark}", buckets)
+        _STORES[app, sf_dir] = LayerStore(spark, root, f"abonados_{mark}", fitting_buckets(spark))
     return _STORES[app, sf_dir]
 
 
@@ -44,7 +43,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     model = MODELS[name]
     if not store.exists(model.layer, name):
         inputs = {needed: table(spark, sf_dir, needed) for needed in model.inputs}
-        store.write(model.layer, name, model.apply(inputs, F.lit(AS_OF)), model.bucket_by)
+        result = model.apply(inputs, F.lit(AS_OF))
+        store.write(model.layer, name, result, model.bucket_by, model.gather)
     return store.read(model.layer, name)
 
 

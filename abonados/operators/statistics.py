@@ -13,19 +13,21 @@ def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n"))
 
 
-def _beside(df: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+def _beside(df: DataFrame, groups: DataFrame, keys: list[str], few: bool) -> DataFrame:
     """Each row beside the one row of its group; NULL keys are equal."""
     renamed = groups.withColumnsRenamed({k: f"g_{k}" for k in keys})
     same = [F.col(k).eqNullSafe(F.col(f"g_{k}")) for k in keys]
-    return df.join(F.broadcast(renamed), same).drop(*[f"g_{k}" for k in keys])
+    return df.join(F.broadcast(renamed) if few else renamed, same).drop(*[f"g_{k}" for k in keys])
 
 
-def grouped_summary(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+def grouped_summary(
+    df: DataFrame, keys: list[str], value: str, few_groups: bool = False
+) -> DataFrame:
     """``mean``, exact interpolated ``median``, ``mode`` and ``total`` of each group.
 
-    The groups must be few, since one row per group is broadcast; that holds for
-    keys from fixed vocabularies. They may be of any size: no task ever holds the
-    values of a group.
+    Groups may be of any size: no task ever holds the values of a group. Set
+    ``few_groups`` where the keys come from fixed vocabularies: one row per group
+    is then broadcast, whatever Spark estimates.
 
     1. A sketch brackets the middle of each group.
     2. Equal values are counted; the counts are summed below, inside and above
@@ -53,7 +55,7 @@ def grouped_summary(df: DataFrame, keys: list[str], value: str) -> DataFrame:
         .otherwise(0)
     )
     zones = (
-        _beside(counts, sketch, keys)
+        _beside(counts, sketch, keys, few_groups)
         .groupBy(*keys, zone.alias("zone"))
         .agg(
             F.sum("n").alias("held"),
@@ -76,7 +78,7 @@ def grouped_summary(df: DataFrame, keys: list[str], value: str) -> DataFrame:
         F.max("total").alias("total"),
     )
     ranked = (
-        _beside(counts, ranges, keys)
+        _beside(counts, ranges, keys, few_groups)
         .filter(F.col(value).between(F.col("least"), F.col("most")))
         .withColumn(
             "upto",

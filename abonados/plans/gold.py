@@ -209,7 +209,7 @@ def revenue_stats_plan_operator(analytics: DataFrame, approx: bool = False) -> D
             )
         )
     else:
-        stats = S.grouped_summary(analytics, keys, "arpu_estimated")
+        stats = S.grouped_summary(analytics, keys, "arpu_estimated", few_groups=True)
     return stats.select(
         *keys,
         F.round("mean", 2).alias("mean_revenue"),

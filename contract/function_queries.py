@@ -199,8 +199,8 @@ query(
 )(lambda ca: ca.select("customer_id", M.arpu_estimated(
     F.col("total_revenue"), F.col("payments_count"), F.col("monthly_bill_usd")).alias("arpu_estimated")))
 query(
-    "f24_arpu_real", K.ANALYTICS, oracle=O.with_parts("SELECT customer_id, round(arpu_real, 6) AS arpu_real FROM ca", "ca"),
-)(lambda ca: ca.select("customer_id", F.round(M.arpu_real(F.col("total_revenue"), F.col("months_of_service")), 6).alias("arpu_real")))
+    "f24_arpu_real", K.ANALYTICS, oracle=O.with_parts("SELECT customer_id, arpu_real FROM ca", "ca"),
+)(lambda ca: ca.select("customer_id", M.arpu_real(F.col("total_revenue"), F.col("months_of_service")).alias("arpu_real")))
 query(
     "f25_payment_id", K.BRONZE,
     oracle=O.with_parts("""

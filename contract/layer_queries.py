@@ -54,8 +54,8 @@ query(
       total_revenue::DOUBLE AS total_revenue, avg10::DOUBLE / 1e10 AS avg_payment_amount, payments_count,
       {T('first_payment_date')} AS first_payment_date, {T('last_payment_date')} AS last_payment_date,
       has_payment_issues, has_pending_payments, services AS total_services_count, services AS active_services_count,
-      months_of_service, arpu_estimated, round(arpu_real, 6) AS arpu_real FROM ca""", "ca"),
-)(lambda c, p, s: gold.customer_analytics(c, p, s, as_of()).withColumn("arpu_real", F.round("arpu_real", 6)))
+      months_of_service, arpu_estimated, arpu_real FROM ca""", "ca"),
+)(lambda c, p, s: gold.customer_analytics(c, p, s, as_of()))
 
 
 def _grouped(keys: str, extra: str = "", where: str = "") -> str:

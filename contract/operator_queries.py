@@ -200,7 +200,7 @@ query(
 query(
     "a11_exact_median", K.ANALYTICS,
     oracle=O.with_parts("SELECT operator, round(quantile_cont(arpu_estimated, 0.5), 6) AS median FROM ca WHERE arpu10 IS NOT NULL GROUP BY 1", "ca"),
-)(lambda ca: statistics.grouped_summary(ca, ["operator"], "arpu_estimated").select("operator", F.round("median", 6).alias("median")))
+)(lambda ca: statistics.grouped_summary(ca, ["operator"], "arpu_estimated", few_groups=True).select("operator", F.round("median", 6).alias("median")))
 query(
     "a12_mode", K.ANALYTICS,
     oracle=O.with_parts("""

@@ -124,11 +124,11 @@ def clean_phone(phone: Column, country: Column) -> Column:
     """International number: a given prefix is kept, otherwise the country's is added."""
     digits = F.regexp_replace(_only_digits(phone), "^0+", "")
     marker = folded(phone)
-    chain = F.when(phone.isNull() | (marker == "") | marker.isin(*V.NO_PHONE), F.lit(None).cast("string"))
-    chain = chain.when(phone.rlike(r"^\+[0-9]"), F.concat(F.lit("+"), digits))
-    for name, prefix in V.DIALLING_PREFIXES.items():
-        chain = chain.when(country == name, F.concat(F.lit(prefix), digits))
-    return chain.otherwise(F.concat(F.lit(V.OTHER_DIALLING_PREFIX), digits))
+    prefix = F.when(phone.rlike(r"^\+[0-9]"), "+")
+    for name, code in V.DIALLING_PREFIXES.items():
+        prefix = prefix.when(country == name, code)
+    number = F.concat(prefix.otherwise(V.OTHER_DIALLING_PREFIX), digits)
+    return F.when(~((marker == "") | marker.isin(*V.NO_PHONE)), number)
 
 
 def operator_from_key(key: Column) -> Column:

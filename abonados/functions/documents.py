@@ -51,10 +51,12 @@ def is_usable(document: Column, key: str) -> Column:
 
 def is_number(value: Column) -> Column:
     """Whether a variant is a JSON number; false for an absent one."""
-    schema = F.schema_of_variant(value)
-    return F.coalesce(
-        schema.isin("BIGINT", "DOUBLE", "FLOAT") | schema.startswith("DECIMAL"), F.lit(False)
-    )
+    return F.coalesce(is_number_schema(F.schema_of_variant(value)), F.lit(False))
+
+
+def is_number_schema(schema: Column) -> Column:
+    """Whether ``schema_of_variant`` names one of the kinds JSON numbers are read as."""
+    return (schema == "BIGINT") | (schema == "DOUBLE") | schema.startswith("DECIMAL")
 
 
 def is_string(value: Column) -> Column:

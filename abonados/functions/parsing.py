@@ -45,29 +45,30 @@ def has_timestamp_shape(text: Column) -> Column:
     )
 
 
-def parse_number(text: Column, value: Column, dtype: str, strict: bool = False) -> Column:
-    """A plain decimal number, given as text or as a JSON number.
+def parse_number(value: Column, dtype: str, strict: bool = False) -> Column:
+    """A JSON number, or a JSON string in the shape of a plain decimal number.
 
-    ``value`` is the same field as a variant. It is looked at only if the text
-    is not plain digits, as with the JSON number 1e3, which is accepted while
-    the JSON string "1e3" is not.
+    The number 1e3 is accepted, the string "1e3" is not.
     """
-    return F.when(text.rlike(V.SIGNED_NUMBER), convert(text, dtype, strict)).when(
-        D.is_number(value), F.try_variant_get(value, "$", dtype)
-    )
+    schema = F.schema_of_variant(value)
+    text = F.try_variant_get(value, "$", "string")
+    get = F.variant_get if strict else F.try_variant_get
+    return F.when(
+        schema == "STRING", F.when(text.rlike(V.SIGNED_NUMBER), convert(text, dtype, strict))
+    ).when(D.is_number_schema(schema), get(value, "$", dtype))
 
 
 def number_field(document: Column, key: str, dtype: str = MONEY, strict: bool = False) -> Column:
-    return parse_number(D.field_text(document, key), D.field(document, key), dtype, strict)
+    return parse_number(D.field(document, key), dtype, strict)
 
 
 def non_negative(number: Column) -> Column:
     return F.when(number >= 0, number)
 
 
-def rounded(text: Column, value: Column, strict: bool = False) -> Column:
+def rounded(value: Column, strict: bool = False) -> Column:
     """The nearest whole number, halves away from zero."""
-    return convert(F.round(parse_number(text, value, WIDE, strict), 0), "int", strict)
+    return convert(F.round(parse_number(value, WIDE, strict), 0), "int", strict)
 
 
 def age(years: Column) -> Column:
@@ -75,11 +76,11 @@ def age(years: Column) -> Column:
 
 
 def age_field(document: Column, key: str = "age", strict: bool = False) -> Column:
-    return age(rounded(D.field_text(document, key), D.field(document, key), strict))
+    return age(rounded(D.field(document, key), strict))
 
 
 def credit_score_field(document: Column, key: str = "credit_score", strict: bool = False) -> Column:
-    return non_negative(rounded(D.field_text(document, key), D.field(document, key), strict))
+    return non_negative(rounded(D.field(document, key), strict))
 
 
 def loose_number_field(document: Column, key: str, dtype: str, strict: bool = False) -> Column:
@@ -89,14 +90,15 @@ def loose_number_field(document: Column, key: str, dtype: str, strict: bool = Fa
 
 def given_customer_id(document: Column, strict: bool = False) -> Column:
     """The id a document brings itself: a JSON number or a string of digits."""
-    text, value = D.field_text(document, "customer_id"), D.field(document, "customer_id")
+    value = D.field(document, "customer_id")
     schema = F.schema_of_variant(value)
+    text = F.try_variant_get(value, "$", "string")
     number = F.try_variant_get(value, "$", WIDE)
     whole = number if strict else F.when(number == F.floor(number), number)
     return (
         F.when(schema == "BIGINT", F.try_variant_get(value, "$", "bigint"))
-        .when((schema == "STRING") & text.rlike(V.DIGITS), convert(text, "bigint", strict))
-        .when(D.is_number(value), convert(whole, "bigint", strict))
+        .when(schema == "STRING", F.when(text.rlike(V.DIGITS), convert(text, "bigint", strict)))
+        .when(D.is_number_schema(schema), convert(whole, "bigint", strict))
     )
 
 

@@ -42,22 +42,18 @@ def cleaned_customers(bronze: DataFrame, strict: bool = False) -> DataFrame:
         F.trim(text("last_name")).alias("last_name"),
         F.lower(F.trim(text("email"))).alias("email"),
         text("phone_number").alias("phone"),
-        text("age").alias("age_text"),
         D.field(doc, "age").alias("age_value"),
         C.folded(text("country")).alias("country_key"),
         C.plain_city(text("city")).alias("city_plain"),
         C.folded(text("operator")).alias("operator_key"),
         C.folded(text("plan_type")).alias("plan_key"),
-        text("monthly_data_gb").alias("data_text"),
         D.field(doc, "monthly_data_gb").alias("data_value"),
-        text("monthly_bill_usd").alias("bill_text"),
         D.field(doc, "monthly_bill_usd").alias("bill_value"),
         C.folded(text("device_brand")).alias("brand_key"),
         text("device_model").alias("model"),
         text("registration_date").alias("registered"),
         text("last_payment_date").alias("last_paid"),
         C.status_key(text("status")).alias("status_key"),
-        text("credit_score").alias("score_text"),
         D.field(doc, "credit_score").alias("score_value"),
         P.loose_number_field(doc, "credit_limit", P.MONEY, strict).alias("credit_limit"),
         P.loose_number_field(doc, "data_usage_current_month", P.MONEY, strict).alias(
@@ -72,9 +68,9 @@ def cleaned_customers(bronze: DataFrame, strict: bool = False) -> DataFrame:
     keyed = raw.withColumns(
         {
             "city_key": F.lower("city_plain"),
-            "age_years": P.rounded(F.col("age_text"), F.col("age_value"), strict),
-            "score": P.rounded(F.col("score_text"), F.col("score_value"), strict),
-            "data_gb": P.parse_number(F.col("data_text"), F.col("data_value"), P.MONEY, strict),
+            "age_years": P.rounded(F.col("age_value"), strict),
+            "score": P.rounded(F.col("score_value"), strict),
+            "data_gb": P.parse_number(F.col("data_value"), P.MONEY, strict),
             "country_original": C.country_from_key(F.col("country_key")),
         }
     )
@@ -85,9 +81,7 @@ def cleaned_customers(bronze: DataFrame, strict: bool = False) -> DataFrame:
             "operator": C.operator_from_key(F.col("operator_key")),
             "plan_type": C.plan_type_from_key(F.col("plan_key")),
             "monthly_data_gb": P.non_negative(F.col("data_gb")),
-            "monthly_bill_usd": P.parse_number(
-                F.col("bill_text"), F.col("bill_value"), P.MONEY, strict
-            ),
+            "monthly_bill_usd": P.parse_number(F.col("bill_value"), P.MONEY, strict),
             "device_brand": C.device_brand_from_key(F.col("brand_key")),
             "device_model": C.clean_device_model(F.col("model")),
             "registration_date": P.parse_timestamp(F.col("registered"), strict),
@@ -154,7 +148,6 @@ def payments(bronze: DataFrame, strict: bool = False) -> DataFrame:
             "payment_id"
         ),
         D.field_text(payment, "date").alias("date_text"),
-        D.field_text(payment, "amount").alias("amount_text"),
         D.field(payment, "amount").alias("amount_value"),
         C.status_key(D.field_text(payment, "status")).alias("status_key"),
     )
@@ -164,9 +157,7 @@ def payments(bronze: DataFrame, strict: bool = False) -> DataFrame:
         "_row_id",
         "payment_id",
         P.parse_timestamp(F.col("date_text"), strict).alias("payment_date"),
-        P.parse_number(F.col("amount_text"), F.col("amount_value"), P.MONEY, strict).alias(
-            "payment_amount"
-        ),
+        P.parse_number(F.col("amount_value"), P.MONEY, strict).alias("payment_amount"),
         C.payment_status_from_key(F.col("status_key")).alias("payment_status"),
     )
     newest = keep_latest(typed, ["customer_id"], _newest_first(), with_ties=True)

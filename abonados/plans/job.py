@@ -24,6 +24,7 @@ class Model:
     ``inputs`` are handed to ``build`` in order, followed by ``as_of`` where
     ``dated`` is set. Tables that are joined by customer are stored in buckets of
     customers; ``gather`` says that the result is not partitioned that way yet.
+    Models that ``convert`` raw values raise under ``strict`` where others give NULL.
     """
 
     name: str
@@ -35,10 +36,13 @@ class Model:
     dated: bool = False
     bucket_by: str | None = None
     gather: bool = False
+    converts: bool = False
 
-    def apply(self, tables: Tables, as_of: Column | None = None) -> DataFrame:
+    def apply(self, tables: Tables, as_of: Column | None = None, strict: bool = False) -> DataFrame:
         given = [tables[name] for name in self.inputs]
-        return self.build(*given, as_of) if self.dated else self.build(*given)
+        if self.dated:
+            given.append(as_of)
+        return self.build(*given, strict=strict) if self.converts else self.build(*given)
 
 
 def _view(name: str, *tags: str, inputs: tuple[str, ...] = (K.ANALYTICS,)) -> Model:
@@ -50,8 +54,8 @@ _WITH_SERVICES = (K.SERVICES, K.DIM_SERVICES, K.ANALYTICS)
 MODELS: dict[str, Model] = {
     model.name: model
     for model in (
-        Model(K.CUSTOMERS, "silver", silver.customers, (K.BRONZE,), ("silver", "customers"), bucket_by="customer_id"),
-        Model(K.PAYMENTS, "silver", silver.payments, (K.BRONZE,), ("silver", "payments"), bucket_by="customer_id"),
+        Model(K.CUSTOMERS, "silver", silver.customers, (K.BRONZE,), ("silver", "customers"), bucket_by="customer_id", converts=True),
+        Model(K.PAYMENTS, "silver", silver.payments, (K.BRONZE,), ("silver", "payments"), bucket_by="customer_id", converts=True),
         Model(
             K.DIM_SERVICES, "silver", lambda raw: silver.dim_services(raw.sparkSession), (K.BRONZE,),
             ("silver", "services", "dimension"),
@@ -59,6 +63,7 @@ MODELS: dict[str, Model] = {
         Model(
             K.SERVICES, "silver", silver.customer_services, (K.BRONZE, K.DIM_SERVICES),
             ("silver", "customers", "services", "bridge"), dated=True, bucket_by="customer_id", gather=True,
+            converts=True,
         ),
         Model(
             K.ANALYTICS, "gold", gold.customer_analytics, (K.CUSTOMERS, K.PAYMENTS, K.SERVICES),
@@ -108,11 +113,13 @@ def stored_tables(store: LayerStore) -> Tables:
     return {name: store.read(layer, name) for name, layer in layers.items() if store.exists(layer, name)}
 
 
-def build(store: LayerStore, models: list[Model], as_of: Column | None = None) -> Tables:
+def build(
+    store: LayerStore, models: list[Model], as_of: Column | None = None, strict: bool = False
+) -> Tables:
     """Writes the tables among the models and registers the views among them."""
     tables = stored_tables(store)
     for model in models:
-        result = model.apply(tables, as_of)
+        result = model.apply(tables, as_of, strict)
         if model.view:
             result.createOrReplaceTempView(model.name)
             tables[model.name] = result
@@ -123,9 +130,11 @@ def build(store: LayerStore, models: list[Model], as_of: Column | None = None) -
     return tables
 
 
-def run_layer(store: LayerStore, layer: str, as_of: Column | None = None, gate: bool = True) -> DataFrame:
+def run_layer(
+    store: LayerStore, layer: str, as_of: Column | None = None, gate: bool = True, strict: bool = False
+) -> DataFrame:
     """Builds a layer and checks it. With ``gate``, failed checks of severity error raise."""
-    tables = build(store, select_models(layer), as_of)
+    tables = build(store, select_models(layer), as_of, strict)
     checks = K.SILVER_CHECKS + K.KEY_CHECKS + K.DESCRIBED_CHECKS if layer == "silver" else K.GOLD_CHECKS
     results = Q.run_checks(checks, tables)
     if gate:
@@ -140,8 +149,9 @@ def run(
     mode: str = "FAILFAST",
     as_of: Column | None = None,
     gate: bool = True,
+    strict: bool = False,
 ) -> dict[str, DataFrame]:
     """Documents to gold. A layer that fails its checks stops the layers after it."""
     ingest(store, path, layout, mode)
     day = F.current_date() if as_of is None else as_of
-    return {layer: run_layer(store, layer, day, gate) for layer in ("silver", "gold")}
+    return {layer: run_layer(store, layer, day, gate, strict) for layer in ("silver", "gold")}

@@ -118,6 +118,15 @@ def test_equal_payments_break_the_key(store, tmp_path):
         job.run(store, written(tmp_path, twice))
 
 
+def test_strict_runs_raise_where_others_give_null(store, tmp_path):
+    path = written(tmp_path, [DOCUMENTS[0], {**DOCUMENTS[1], "credit_limit": "bad"}])
+    job.run(store, path)
+    assert store.read("silver", K.CUSTOMERS).filter("credit_limit IS NULL").count() == 2
+    with pytest.raises(Exception, match="(?i)CAST_INVALID_INPUT"):
+        job.run(store, path, strict=True)
+    assert store.read("silver", K.CUSTOMERS).count() == 2
+
+
 def test_models_and_tags():
     assert len([m for m in job.MODELS.values() if m.view]) == 20
     assert [m.name for m in job.select_models("silver")] == [K.CUSTOMERS, K.PAYMENTS, K.DIM_SERVICES, K.SERVICES]

@@ -59,10 +59,6 @@ def is_number_schema(schema: Column) -> Column:
     return (schema == "BIGINT") | (schema == "DOUBLE") | schema.startswith("DECIMAL")
 
 
-def is_string(value: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(value) == "STRING", F.lit(False))
-
-
 def is_array(value: Column) -> Column:
     return F.coalesce(F.schema_of_variant(value).startswith("ARRAY"), F.lit(False))
 

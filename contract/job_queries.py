@@ -13,7 +13,7 @@ from abonados.sources import bronze as B
 from contract import documents as docs
 from contract import oracle_parts as O
 from contract.registry import add, comparable, query
-from contract.store import scratch_store, table, tables
+from contract.store import layer_store, scratch_store, table, tables
 
 AS_OF = docs.AS_OF
 ALL_STORED = (K.BRONZE, K.CUSTOMERS, K.PAYMENTS, K.SERVICES, K.DIM_SERVICES, K.ANALYTICS)
@@ -119,8 +119,6 @@ query("i7_bronze_scan", K.BRONZE, oracle=O.with_parts(
 
 def _by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored models read by their names in the catalog."""
-    from contract.store import layer_store
-
     tables(spark, sf_dir, K.SERVICES, K.DIM_SERVICES)
     store = layer_store(spark, sf_dir)
     return spark.sql(

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from abonados.llm import decontaminate, exact_dedup, url_filter
+from abonados.llm import decontaminate, exact_dedup, near_dedup, packing, token_counts, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +26,24 @@ def query(name: str, oracle: str | None = None):
     return register
 
 
+@query("op1_near_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of near-duplicates of every document."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+@query("op2_packing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every piece of every document stands in sequences of 2048 tokens."""
+    return packing.pack(packing.cut(table(spark, sf_dir, "documents")))
+
+
+@query("op3_token_counts")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals for every context limit that is some document's length."""
+    return token_counts.limits(token_counts.length_histogram(table(spark, sf_dir, "documents")))
+
+
 @query("op6_exact_dedup", exact_dedup.ORACLE)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which of equal texts stays, for every document."""

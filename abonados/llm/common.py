@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from abonados.session import shared_dir
 
@@ -36,6 +37,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def widened(df: DataFrame, **kinds: str) -> T.StructType:
+    """The frame's schema with further columns behind its own."""
+    more = [T.StructField(name, T.DataType.fromDDL(kind)) for name, kind in kinds.items()]
+    return T.StructType([*df.schema.fields, *more])
+
+
 def lower_ascii(column: Column) -> Column:
     """A-Z in lower case, every other character as it is."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

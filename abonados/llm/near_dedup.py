@@ -152,7 +152,8 @@ def _alike(nodes: DataFrame, classes: DataFrame, least: float) -> DataFrame:
             held.append(batch.slice(cut))
         yield from _linked(held, least)
 
-    ordered = rows.repartition("node").sortWithinPartitions("node")
+    # by key as well: in every tree the same member of a group comes first and names it
+    ordered = rows.repartition("node").sortWithinPartitions("node", "key")
     return ordered.mapInArrow(compared, "a binary, b binary").distinct()
 
 
@@ -218,7 +219,7 @@ def _confirmed(groups: DataFrame, size: int, percent: int) -> DataFrame:
                     begin = stop
         yield from _links(keys, sets, percent)
 
-    return rows.repartition("at").sortWithinPartitions("at").mapInArrow(confirm, "a binary, b binary")
+    return rows.repartition("at").sortWithinPartitions("at", "key").mapInArrow(confirm, "a binary, b binary")
 
 
 def _links(keys: list[bytes], sets: list[np.ndarray], percent: int) -> Iterator[pa.RecordBatch]:

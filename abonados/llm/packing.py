@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abonados.llm.common import ready, stored
+from abonados.llm.common import ready, stored, widened
 from abonados.llm.encoder import encoder, vocabulary
 
 #: The pieces that one task packs.
@@ -139,7 +139,7 @@ def pack(pieces: DataFrame, size: int = 2048, shard: int = SHARD) -> DataFrame:
         rows = rows.append_column("sequence_id", pa.array(first[sequences]))
         yield from rows.append_column("offset", pa.array(offsets)).to_batches(10_000)
 
-    schema = held.schema.add("sequence_id", "long").add("offset", "long")
+    schema = widened(held, sequence_id="long", offset="long")
     return dealt.mapInArrow(packed, schema).unionByName(full).drop("_row")
 
 

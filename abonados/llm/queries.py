@@ -5,8 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from abonados.llm import decontaminate, exact_dedup, near_dedup, packing, token_counts, url_filter
+from pyspark.sql import functions as F
+
+from abonados.llm import (
+    decontaminate,
+    exact_dedup,
+    language,
+    near_dedup,
+    packing,
+    token_counts,
+    toxicity,
+    url_filter,
+)
+from abonados.llm.common import id_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,6 +55,26 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.limits(token_counts.length_histogram(table(spark, sf_dir, "documents")))
 
 
+@query("op4_language_id")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from three folds of four."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = id_remainder(F.col("doc_id"), 4) == 2
+    model = language.train(documents.filter(~held_out))
+    judged = language.identify(documents.select("doc_id", "text"), model)
+    return judged.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query("op7_toxicity")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How toxic every document is, learned from the labels of four folds of five."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(id_remainder(F.col("doc_id"), 5) != 0)
+    model = toxicity.train(documents, labels, documents)
+    held_out = (id_remainder(F.col("doc_id"), 5) == 0).alias("held_out")
+    return toxicity.score(documents, model).select("doc_id", held_out, "score", "predicted")
+
+
 @query("op6_exact_dedup", exact_dedup.ORACLE)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which of equal texts stays, for every document."""

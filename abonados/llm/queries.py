@@ -11,6 +11,7 @@ from abonados.llm import (
     decontaminate,
     exact_dedup,
     language,
+    lm,
     near_dedup,
     packing,
     token_counts,
@@ -65,6 +66,16 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+@query("op5_lm_scoring")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How probable every document is, learned from six folds of seven."""
+    fold = id_remainder(F.col("doc_id"), 7)
+    scored = lm.score(table(spark, sf_dir, "documents"), fold != 2, fold == 5)
+    return scored.select(
+        "doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 @query("op7_toxicity")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How toxic every document is, learned from the labels of four folds of five."""

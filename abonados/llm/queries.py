@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from abonados.llm import (
+    chat,
     decontaminate,
     exact_dedup,
     language,
@@ -105,3 +106,14 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How much of every document stands in windows of benchmark items."""
     documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.contamination(documents, benchmark).drop("item_ids")
+
+
+@query("op10_chat_formatting")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn with the role found for it and its canonical form, learned from the
+    roles of four folds of five; roles are no input of the parse."""
+    turns = table(spark, sf_dir, "conversations")
+    held_out = id_remainder(F.col("conv_id"), 5) == 0
+    model = chat.train(turns.filter(~held_out))
+    parsed = chat.parse(turns.drop("role"), model)
+    return parsed.select("conv_id", "turn", held_out.alias("held_out"), "role_pred", "rendered")

@@ -14,6 +14,7 @@ Documents with equal sets are one class from the start, so copies are never pair
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,9 @@ TREES = 12
 #: Nodes up to this size are compared exhaustively; twice it is the size of a block pair.
 SMALL_NODE = 512
 LEVELS = 3
+#: Trees that are grown first. What they hold together is one group from then on: the
+#: other trees only look for links between different groups.
+FIRST_TREES = 1
 #: Documents look alike if their tokens agree in the threshold less this share: four
 #: standard deviations of the estimate from ``SLOTS`` tokens.
 MARGIN = 0.14
@@ -101,42 +105,50 @@ def _signatures(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, SLOTS)
 
 
-def _roots(classes: DataFrame, threshold: float) -> DataFrame:
-    """The first level of all trees: (``node``, ``key``)."""
+def _roots(classes: DataFrame, trees: range, threshold: float) -> DataFrame:
+    """The first level of the trees: (``node``, ``key``, ``known``)."""
 
     def branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            tokens = _signatures(batch.column(1))
-            for tree in range(TREES):
+            tokens = _signatures(batch.column(2))
+            for tree in trees:
                 rows, nodes = _chosen(tokens, np.full(len(tokens), mixed(np.array([tree + 1], np.uint64))[0]), threshold)
-                taken = batch.column(0).take(pa.array(rows))
-                yield pa.RecordBatch.from_pydict({"node": pa.array(nodes.view(np.int64)), "key": taken})
+                taken = [batch.column(i).take(pa.array(rows)) for i in range(2)]
+                yield pa.RecordBatch.from_arrays([pa.array(nodes.view(np.int64)), *taken], ["node", "key", "known"])
 
-    return classes.select("key", "tokens").mapInArrow(branch, "node long, key binary")
+    return classes.select("key", "known", "tokens").mapInArrow(branch, "node long, key binary, known binary")
 
 
 def _children(rows: DataFrame, threshold: float) -> DataFrame:
-    """The next level below ``rows`` (``node``, ``key``, ``tokens``)."""
+    """The next level below ``rows`` (``node``, ``key``, ``known``, ``tokens``)."""
 
     def branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             nodes = batch.column(0).to_numpy().view(np.uint64)
-            chosen, below = _chosen(_signatures(batch.column(2)), nodes, threshold)
-            taken = batch.column(1).take(pa.array(chosen))
-            yield pa.RecordBatch.from_pydict({"node": pa.array(below.view(np.int64)), "key": taken})
+            chosen, below = _chosen(_signatures(batch.column(3)), nodes, threshold)
+            taken = [batch.column(i).take(pa.array(chosen)) for i in (1, 2)]
+            yield pa.RecordBatch.from_arrays([pa.array(below.view(np.int64)), *taken], ["node", "key", "known"])
 
-    return rows.select("node", "key", "tokens").mapInArrow(branch, "node long, key binary")
+    return rows.select("node", "key", "known", "tokens").mapInArrow(branch, "node long, key binary, known binary")
+
+
+def _open(level: DataFrame) -> DataFrame:
+    """The rows of nodes that hold different groups, with the ``size`` of the node."""
+    sizes = level.groupBy("node").agg(
+        F.count(F.lit(1)).alias("size"), F.min("known").alias("low"), F.max("known").alias("high")
+    )
+    return level.join(sizes.filter("low != high").select("node", "size"), "node")
 
 
 def _alike(nodes: DataFrame, classes: DataFrame, least: float) -> DataFrame:
-    """Links (``a``, ``b``) that hold together what looks alike within each node of
-    ``nodes`` (``node``, ``key``): each member with the first of its group."""
-    short = classes.select("key", "tokens")
-    rows = nodes.join(short, "key").select("node", "key", "tokens")
+    """Links (``a``, ``b``) between groups (``known``) that look alike in some members
+    within a node of ``nodes`` (``node``, ``key``, ``known``): each group with the first
+    that it is held together with."""
+    rows = nodes.join(classes.select("key", "tokens"), "key").select("node", "key", "known", "tokens")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -152,8 +164,7 @@ def _alike(nodes: DataFrame, classes: DataFrame, least: float) -> DataFrame:
             held.append(batch.slice(cut))
         yield from _linked(held, least)
 
-    # by key as well: in every tree the same member of a group comes first and names it
-    ordered = rows.repartition("node").sortWithinPartitions("node", "key")
+    ordered = rows.repartition("node").sortWithinPartitions("node")
     return ordered.mapInArrow(compared, "a binary, b binary").distinct()
 
 
@@ -165,18 +176,25 @@ def _linked(batches: list[pa.RecordBatch], least: float) -> Iterator[pa.RecordBa
     # a token's low byte tells most pairs apart; agreement by chance is taken off
     tokens = np.ascontiguousarray(_signatures(rows.column("tokens")).astype(np.uint8))
     need = SLOTS * (least + (1 - least) / 256)
-    label, left, right = np.arange(len(nodes)), [], []
+    known = rows.column("known")
+    packed = np.frombuffer(b"".join(known.to_pylist()), "S16")
+    # by name: in every tree the same group comes first
+    _, found, group = np.unique(packed, return_index=True, return_inverse=True)
+    label, left, right = np.arange(len(found)), [], []
     for step in range(1, len(nodes)):
         first = np.flatnonzero(nodes[step:] == nodes[:-step])
         if not len(first):
             break
+        first = first[group[first] != group[first + step]]
+        if not len(first):
+            continue
         for part in np.array_split(first, -(-len(first) // 20_000)):
             hits = part[(tokens[part] == tokens[part + step]).sum(axis=1) >= need]
             left.append(hits)
             right.append(hits + step)
     if not left:
         return
-    a, b = np.concatenate(left), np.concatenate(right)
+    a, b = group[np.concatenate(left)], group[np.concatenate(right)]
     while True:
         before = label.copy()
         np.minimum.at(label, b, label[a])
@@ -185,8 +203,43 @@ def _linked(batches: list[pa.RecordBatch], least: float) -> Iterator[pa.RecordBa
         if (label == before).all():
             break
     members = np.flatnonzero(label != np.arange(len(label)))
-    keys = rows.column("key")
-    yield from pa.table({"a": keys.take(pa.array(label[members])), "b": keys.take(pa.array(members))}).to_batches()
+    first, other = (known.take(pa.array(found[x])) for x in (label[members], members))
+    yield from pa.table({"a": first, "b": other}).to_batches()
+
+
+def _named(classes: DataFrame, links: list[DataFrame]) -> DataFrame:
+    """``classes`` with the group (``known``) in which the links hold each of them."""
+    groups = components(reduce(DataFrame.unionByName, links), "a", "b")
+    joined = classes.join(groups, classes["key"] == groups["node"], "left")
+    return joined.select("key", "tokens", F.coalesce("label", "key").alias("known"))
+
+
+def _candidates(classes: DataFrame, threshold: float) -> DataFrame:
+    """Links (``a``, ``b``) that hold together all classes (``key``, ``tokens``) which
+    look alike in some node of some tree."""
+    least, links = threshold - MARGIN, []
+    named = classes.withColumn("known", F.col("key"))
+    for trees in (range(FIRST_TREES), range(FIRST_TREES, TREES)):
+        if links:
+            named = _named(classes, links)
+        level = stored(_roots(named, trees, threshold), "level")
+        # nodes that are done at each level, and those that branch again
+        for depth in range(1, LEVELS + 1):
+            met = stored(_open(level), "met")
+            links.append(stored(_alike(met.filter(F.col("size") <= SMALL_NODE), classes, least), "alike"))
+            large = met.filter(F.col("size") > SMALL_NODE)
+            if not large.limit(1).count():
+                break
+            if depth < LEVELS:
+                below = large.join(classes.select("key", "tokens"), "key")
+                level = stored(_children(below, threshold), "level")
+            else:
+                # each block by itself, then pairs of blocks, for links between what is left apart
+                links.append(stored(_alike(_blocks(large), classes, least), "alike"))
+                named = _named(classes, links).select("key", "known")
+                apart = _open(large.select("node", "key").join(named, "key"))
+                links.append(stored(_alike(_open(_block_pairs(apart)), classes, least), "alike"))
+    return reduce(DataFrame.unionByName, links).distinct()
 
 
 def _confirmed(groups: DataFrame, size: int, percent: int) -> DataFrame:
@@ -286,25 +339,7 @@ def near_duplicates(
     same = named["id"].eqNullSafe(sketched["id"]) & (named["mark"] == sketched["mark"]) & (named["key"] == sketched["key"])
     classes = stored(sketched.join(named, same, "left_semi").select("key", "tokens").dropDuplicates(["key"]), "tokens")
 
-    # nodes that are done at each level, and those that branch again
-    level = stored(_roots(classes, threshold), "level")
-    links = []
-    for depth in range(1, LEVELS + 1):
-        sizes = level.groupBy("node").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-        met = stored(level.join(sizes, "node"), "met")
-        links.append(_alike(met.filter(F.col("size") <= SMALL_NODE).select("node", "key"), classes, threshold - MARGIN))
-        large = met.filter(F.col("size") > SMALL_NODE)
-        if not large.limit(1).count():
-            break
-        if depth == LEVELS:
-            links.append(_alike(_block_pairs(large), classes, threshold - MARGIN))
-        else:
-            level = stored(_children(large.join(classes, "key"), threshold), "level")
-    alike = links[0]
-    for more in links[1:]:
-        alike = alike.union(more)
-    alike = stored(alike.distinct(), "alike")
-
+    alike = stored(_candidates(classes, threshold), "alike")
     groups = stored(components(alike, "a", "b"), "groups")
     texts = documents.select(
         F.col(id_column).alias("id"), F.xxhash64(F.col(text)).alias("mark"), F.col(text).cast("string").alias("text")
@@ -329,17 +364,28 @@ def near_duplicates(
     ).withColumn("kept", F.col(id_column).eqNullSafe(F.col("component_id")))
 
 
-def _block_pairs(rows: DataFrame) -> DataFrame:
-    """Nodes of any size as pairs of blocks of about half a small node, so that every two
-    documents of a node meet in one pair."""
+def _block_of() -> tuple[Column, Column]:
+    """The number of blocks of a row's node, about half a small node each, and its own."""
     blocks = F.ceil(F.col("size") / (SMALL_NODE / 2)).cast("long")
-    own: Column = F.pmod(F.xxhash64("key"), blocks)
+    return blocks, F.pmod(F.xxhash64("key"), blocks)
+
+
+def _blocks(rows: DataFrame) -> DataFrame:
+    """Nodes of any size as blocks."""
+    own = _block_of()[1]
+    return rows.select(F.xxhash64("node", own).alias("node"), "key", "known")
+
+
+def _block_pairs(rows: DataFrame) -> DataFrame:
+    """Nodes of any size as pairs of blocks, so that every two documents of a node meet
+    in one pair."""
+    blocks, own = _block_of()
     pairs = F.transform(
         F.sequence(F.lit(0).cast("long"), blocks - 1),
         lambda other: F.struct(F.least(own, other).alias("x"), F.greatest(own, other).alias("y")),
     )
-    return rows.select(F.explode(pairs).alias("pair"), "node", "key").select(
-        F.xxhash64("node", "pair").alias("node"), "key"
+    return rows.select(F.explode(pairs).alias("pair"), "node", "key", "known").select(
+        F.xxhash64("node", "pair").alias("node"), "key", "known"
     )
 
 

@@ -91,6 +91,21 @@ def test_near_duplicates_equal_brute_force(documents, size, percent):
     assert all(r.kept == (r.doc_id == r.component_id) for r in found.values())
 
 
+def test_large_nodes_lose_no_link(spark, monkeypatch):
+    """Nodes above the bound branch, and end in blocks and pairs of blocks."""
+    monkeypatch.setattr(near_dedup, "SMALL_NODE", 4)
+    draw = random.Random(3)
+    base = [f"w{draw.randrange(500)}" for _ in range(200)]
+    found = []
+    for i in range(60):
+        words = list(base)
+        words[(3 * i) % 200] = f"own{i}"
+        found.append((i, " ".join(words)))
+    found += [(i, " ".join(f"w{draw.randrange(500)}" for _ in range(100))) for i in range(60, 80)]
+    judged = near_dedup.near_duplicates(spark.createDataFrame(found, "doc_id long, text string"), 3, 85).collect()
+    assert {r["doc_id"]: r["component_id"] for r in judged} == {i: 0 if i < 60 else i for i, _ in found}
+
+
 def test_near_dedup_keeps_one_whole_row_of_each_group(documents):
     _, least = near_components(5, 80)
     kept = near_dedup.drop_near_duplicates(documents, size=5, percent=80)

@@ -94,7 +94,10 @@ def given_customer_id(document: Column, strict: bool = False) -> Column:
     schema = F.schema_of_variant(value)
     text = F.try_variant_get(value, "$", "string")
     number = F.try_variant_get(value, "$", WIDE)
-    whole = number if strict else F.when(number == F.floor(number), number)
+    whole = F.when(number == F.floor(number), number)
+    if strict:
+        fraction = F.raise_error(F.lit("customer_id is no whole number")).cast(WIDE)
+        whole = F.coalesce(whole, F.when(number.isNotNull(), fraction))
     return (
         F.when(schema == "BIGINT", F.try_variant_get(value, "$", "bigint"))
         .when(schema == "STRING", F.when(text.rlike(V.DIGITS), convert(text, "bigint", strict)))

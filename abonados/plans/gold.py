@@ -59,29 +59,11 @@ def payments_by_customer(payments: DataFrame) -> DataFrame:
 
 
 def services_by_customer(services: DataFrame) -> DataFrame:
-    """Distinct services per customer; both counts mean the same.
-
-    A service number is one of a few, so a bit per service counts them in one
-    pass and in fixed space.
-    """
-    distinct = F.bit_count(service_mask("service_id"))
+    """Distinct services per customer; both counts mean the same."""
+    distinct = F.count_distinct("service_id")
     return services.groupBy("customer_id").agg(
-        distinct.cast("bigint").alias("total_services_count"),
-        distinct.cast("bigint").alias("active_services_count"),
-    )
-
-
-def service_mask(service_id: str) -> Column:
-    """The services of a group as bits of a long: numbers from 0 to 62."""
-    number = F.col(service_id)
-    fits = F.when(number.between(0, 62), number)
-    outside = F.when(
-        number.isNotNull() & fits.isNull(),
-        F.raise_error(F.lit("service_id must lie between 0 and 62")).cast("int"),
+        distinct.alias("total_services_count"), distinct.alias("active_services_count")
     )
-    one = F.lit(1).cast("bigint")
-    bits = F.bit_or(F.call_function("shiftleft", one, F.coalesce(fits, outside)))
-    return F.coalesce(bits, F.lit(0).cast("bigint"))
 
 
 def customer_analytics(
@@ -310,33 +292,30 @@ def _combinations(
 ) -> DataFrame:
     """Customers and revenue of every set of services taken together.
 
-    The set travels as bits of a long; its text is made once per set, not once
-    per customer.
+    A set is the sorted array of its numbers, at most as long as the dimension; its
+    text is made once per set, not once per customer.
     """
     numbers = F.broadcast(dim.select("service_id"))  # the fixed list of services
     per_customer = (
         services.join(numbers, "service_id", "left_semi")
         .groupBy("customer_id")
-        .agg(service_mask("service_id").alias("mask"))
+        .agg(F.array_sort(F.collect_set("service_id")).alias("numbers"))
     )
     money = analytics.select("customer_id", "total_revenue", "arpu_estimated")
     zero = F.lit(0).cast("decimal(18,6)")
     sets = (
         per_customer.join(money, "customer_id", how)
-        .groupBy("mask")
+        .groupBy("numbers")
         .agg(
             _customers(),
             F.sum(F.coalesce("total_revenue", zero)).alias("total_revenue"),
             F.round(F.avg(F.coalesce("arpu_estimated", zero.cast(M.ARPU))), 2).alias("avg_arpu"),
         )
     )
-    bits = F.explode(F.sequence(F.lit(0), F.lit(62))).alias("service_id")
-    member = F.call_function("shiftright", "mask", "service_id").bitwiseAND(F.lit(1)) == 1
     return (
-        sets.select("*", bits)
-        .filter(member)
+        sets.select("*", F.explode("numbers").alias("service_id"))
         .join(F.broadcast(dim), "service_id")
-        .groupBy("mask", "customers", "total_revenue", "avg_arpu")
+        .groupBy("numbers", "customers", "total_revenue", "avg_arpu")
         .agg(
             F.expr("listagg(service_code, ',') WITHIN GROUP (ORDER BY service_code)").alias("service_combo"),
             F.count("*").alias("services_count"),

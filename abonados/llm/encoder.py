@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import os
+import re
 from functools import lru_cache
 
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Spelled-out words kept by a worker; when there are more, it starts anew.
-KEPT_WORDS = 400_000
+#: Words that a worker keeps spelled out; twice as many are held at most.
+KEPT_WORDS = 250_000
 _TAIL = ".,;:!?"
+#: Letters that normalisation only lower-cases, one for one: ASCII and Latin-1.
+_PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -20,58 +23,84 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def byte_letters() -> list[str]:
+    """The character that stands for each byte in byte-level vocabularies: printable
+    ones for themselves, the others counted on from 256."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    return [chr(b) if b in printable else chr(256 + others.index(b)) for b in range(256)]
+
+
+class Remembered:
+    """A mapping of bounded size: what was used since the last turn survives a turn."""
+
+    def __init__(self, size: int):
+        self.size, self.new, self.old = size, {}, {}
+
+    def missing(self, keys) -> set:
+        """The keys that are not known; known ones are moved to the new generation."""
+        if len(self.new) > self.size:
+            self.old, self.new = self.new, {}
+        new, old, unknown = self.new, self.old, set()
+        for key in keys:
+            if key not in new:
+                if key in old:
+                    new[key] = old[key]
+                else:
+                    unknown.add(key)
+        return unknown
+
+
 class WordEncoder:
     """Ids as little-endian 32-bit integers, equal to those of encoding the whole text.
 
     The vocabulary's rules never join what white space separates, so each distinct word
-    is encoded once and remembered. Letters and the punctuation after them are separate
-    pieces as well. Strings of special tokens in a text are ordinary text.
+    is encoded once and remembered. A word of plain letters is one piece, and so is the
+    punctuation after it; every other word goes through the tokenizer as it stands.
+    Strings of special tokens in a text become their ids, as the tokenizer does it.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are the threads
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        ends = [token.endswith("</w>") for token, _ in sorted(self.tokenizer.get_vocab().items(), key=lambda x: x[1])]
-        self.is_end = np.array(ends)
-        self.known: dict[str, bytes] = {"": b""}
-        self.letters: dict[str, bytes] = {}
+        self.spell = self.tokenizer.model.tokenize
+        self.as_bytes = dict(enumerate(byte_letters()))
+        self.words = Remembered(KEPT_WORDS)
+        self.tails: dict[str, bytes] = {"": b""}
 
     def __call__(self, text: str) -> bytes:
         words = text.replace("\n", " ").split(" ")
         try:
-            return b"".join([self.known[w] for w in words])
+            known = self.words.new
+            return b"".join([known[w] for w in words])
         except KeyError:
-            if len(self.known) > KEPT_WORDS:
-                self.known, self.letters = {"": b""}, {}
-            self._learn({w for w in words if w not in self.known})
-            return b"".join([self.known[w] for w in words])
+            self._learn(self.words.missing(words))
+            known = self.words.new
+            return b"".join([known[w] for w in words])
 
     def _learn(self, words: set[str]) -> None:
-        plain, odd = {}, []
+        known, odd = self.words.new, []
         for word in words:
             stem = word.rstrip(_TAIL)
-            if stem.isalpha() and stem.lower().isalpha():
-                plain[word] = stem
+            if _PLAIN.fullmatch(stem):
+                known[word] = self._piece(stem.lower()) + self._tail(word[len(stem) :])
             else:
                 odd.append(word)
-        tails = {word[len(stem) :] for word, stem in plain.items()}
-        odd.extend(tail for tail in tails if tail not in self.known)
-        if odd:
-            for word, encoding in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False), strict=True):
-                self.known[word] = np.array(encoding.ids, "<u4").tobytes()
-        new = [stem for stem in set(plain.values()) if stem not in self.letters]
-        if new:
-            # each stem is one piece, and the last token of a piece is marked as its end
-            joined = self.tokenizer.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids
-            ids = np.array(joined, "<u4")
-            ends = (np.flatnonzero(self.is_end[ids]) + 1) * 4
-            data, start = ids.tobytes(), 0
-            for stem, end in zip(new, ends.tolist(), strict=True):
-                self.letters[stem] = data[start:end]
-                start = end
-        for word, stem in plain.items():
-            self.known[word] = self.letters[stem] + self.known[word[len(stem) :]]
+        for word, encoding in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False), strict=True):
+            known[word] = np.array(encoding.ids, "<u4").tobytes()
+
+    def _piece(self, letters: str) -> bytes:
+        if not letters.isascii():
+            letters = letters.encode().decode("latin-1").translate(self.as_bytes)
+        return np.array([token.id for token in self.spell(letters)], "<u4").tobytes()
+
+    def _tail(self, tail: str) -> bytes:
+        if tail not in self.tails:
+            ids = np.array(self.tokenizer.encode(tail, add_special_tokens=False).ids, "<u4").tobytes()
+            if len(tail) > 3:
+                return ids
+            self.tails[tail] = ids
+        return self.tails[tail]
 
 
 @lru_cache(maxsize=2)

@@ -15,6 +15,7 @@ from abonados.llm import (
     lm,
     near_dedup,
     packing,
+    runs,
     token_counts,
     toxicity,
     url_filter,
@@ -117,3 +118,29 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = chat.train(turns.filter(~held_out))
     parsed = chat.parse(turns.drop("role"), model)
     return parsed.select("conv_id", "turn", held_out.alias("held_out"), "role_pred", "rendered")
+
+
+def with_planted_runs(documents: DataFrame) -> DataFrame:
+    """The documents of the contract: of ids whose crc32 ends in 0, all words from word
+    a = g % n on repeat with period 1 + floor((n - a) / (3 + g % 8)), g = floor(crc32 / 10)."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    g, n = F.floor(h / 10), F.size("words")
+    first = (g % n).cast("int")
+    period = F.lit(1) + F.floor((n - F.col("first")) / (F.lit(3) + g % 8)).cast("int")
+    at = lambda w, i: F.when(i < F.col("first"), w).otherwise(
+        F.get("words", F.col("first") + (i - F.col("first")) % F.col("span"))
+    )
+    planted = documents.filter(h % 10 == 0).withColumn("words", words)
+    planted = planted.withColumn("first", F.when(n > 0, first)).withColumn("span", period)
+    planted = planted.withColumn("text", F.when(n > 0, F.array_join(F.transform("words", at), " ")))
+    return planted.select("doc_id", "text").unionByName(documents.filter(h % 10 != 0).select("doc_id", "text"))
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of every document, the strongest of them, and hashes of all."""
+    judged = runs.periodic_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    return runs.run_digests(judged).select(
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"
+    )

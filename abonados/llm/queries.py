@@ -11,6 +11,7 @@ from abonados.llm import (
     chat,
     decontaminate,
     exact_dedup,
+    histogram_packing,
     language,
     lm,
     near_dedup,
@@ -144,3 +145,9 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.run_digests(judged).select(
         "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"
     )
+
+
+@query("op12_packing")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every piece of every document stands in sequences without padding."""
+    return histogram_packing.pack_by_histogram(table(spark, sf_dir, "documents"))

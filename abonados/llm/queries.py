@@ -17,6 +17,7 @@ from abonados.llm import (
     near_dedup,
     packing,
     runs,
+    token_alignment,
     token_counts,
     toxicity,
     url_filter,
@@ -151,3 +152,10 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where every piece of every document stands in sequences without padding."""
     return histogram_packing.pack_by_histogram(table(spark, sf_dir, "documents"))
+
+
+@query("op13_token_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How two vocabularies' tokens of every document correspond."""
+    aligned = token_alignment.align_tokens(table(spark, sf_dir, "documents"), digest=True)
+    return aligned.withColumnRenamed("groups", "groups_sha256")

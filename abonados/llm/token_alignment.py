@@ -30,12 +30,13 @@ from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
 from abonados.llm.common import ready, stored
-from abonados.llm.encoder import Remembered, byte_letters, vocabulary
+from abonados.llm.encoder import PLAIN, Remembered, byte_letters, byte_level, vocabulary
 
 #: Words that a worker keeps aligned; twice as many are held at most.
-KEPT_WORDS = 250_000
+KEPT_WORDS = 350_000
 #: Bytes of text after which a block of documents ends.
 BLOCK = 32 << 20
+_TAIL = ".,;:!?"
 #: White space before a space: the word that follows is not cut off there.
 _RUNS_OF_SPACE = regex.compile(r"[\s\x1c-\x1f] ")
 _WORD_BORDER = regex.compile(r"(?<![\s\x1c-\x1f])(?= )")
@@ -44,27 +45,32 @@ _WORD_BORDER = regex.compile(r"(?<![\s\x1c-\x1f])(?= )")
 def shared_cuts(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     """How many tokens of either side stand before the end of each group; ``a`` and ``b``
     are the tokens' ends, ascending, both up to the same last one."""
-    cuts, todo = [], [(0, len(a), 0, len(b))] if a and b else []
+    if not a or not b:
+        return []
+    if len(a) == 1 or len(b) == 1:
+        return [(len(a), len(b))]
+    cuts, todo = [], [(0, len(a), 0, len(b))]
     while todo:
         i, j, k, m = todo.pop()
-        found = -1
         if j - i > 1 and m - k > 1:
             # the ends inside, from the middle outwards; the last one ends the interval
-            middle = (i + j - 2) // 2
-            for far in range((j - i) // 2 + 1):
-                for at in (middle - far, middle + far):
-                    if i <= at < j - 1:
-                        place = bisect_left(b, a[at], k, m)
-                        if b[place] == a[at]:
-                            found = at
-                            break
-                if found >= 0:
-                    break
-        if found < 0:
-            cuts.append((j, m))
-        else:
-            todo.append((found + 1, j, place + 1, m))
-            todo.append((i, found + 1, k, place + 1))
+            at = middle = (i + j - 2) // 2
+            place = bisect_left(b, a[at], k, m)
+            far = 0
+            while b[place] != a[at]:
+                far = -far if far > 0 else 1 - far
+                at = middle + far
+                if at >= j - 1 or at < i:
+                    far = -far if far > 0 else 1 - far
+                    at = middle + far
+                    if at >= j - 1 or at < i:
+                        break
+                place = bisect_left(b, a[at], k, m)
+            else:
+                todo.append((at + 1, j, place + 1, m))
+                todo.append((i, at + 1, k, place + 1))
+                continue
+        cuts.append((j, m))
     return cuts
 
 
@@ -98,9 +104,13 @@ class Aligner:
         as_byte = {letter: b for b, letter in enumerate(byte_letters())}
         size = self.first.get_vocab_size()
         plain = [self.first.id_to_token(i) or "" for i in range(size)]
-        self.first_spelt = [bytes(as_byte.get(c, 0) for c in t) for t in plain]
-        self.second_spelt = [self._spelt(i) for i in range(self.second.get_piece_size())]
+        first = [bytes(as_byte.get(c, 0) for c in t) for t in plain]
+        second = [self._spelt(i) for i in range(self.second.get_piece_size())]
+        self.spelt_a, self.spelt_b = first.__getitem__, second.__getitem__
+        self.length_a, self.length_b = [len(t) for t in first].__getitem__, [len(t) for t in second].__getitem__
         self.pieces = self.second.get_piece_size()
+        self.letter_of_space = byte_level(" ")
+        self.tails: dict[str, list[int]] = {}
         self.space = self.second.piece_to_id("▁")
         self.words = Remembered(KEPT_WORDS)
 
@@ -126,30 +136,55 @@ class Aligner:
         unknown = self.words.missing(words)
         if unknown:
             self._learn(list(unknown))
-        known = self.words.new
-        found = [known[w] for w in words]
+        found = list(map(self.words.new.__getitem__, words))
         if None in found:
             return None
         groups, n_a, n_b, n_groups, pairs = zip(*found, strict=True)
         return ";".join(groups), sum(n_a), sum(n_b), sum(n_groups), np.frombuffer(b"".join(pairs), "<u4")
 
     def _learn(self, words: list[str]) -> None:
-        first = self.first.encode_batch_fast(words, add_special_tokens=False)
+        first = self._first_ids(words)
         second = self.second.encode([w[1:] for w in words], num_threads=1)
-        for word, encoding, b in zip(words, first, second, strict=True):
+        for word, a, b in zip(words, first, second, strict=True):
             # the piece vocabulary adds no space to nothing: a last space stands alone
-            self.words.new[word] = self._aligned(word.encode(), encoding.ids, b or [self.space])
+            self.words.new[word] = self._aligned(word.encode(), a, b or [self.space])
+
+    def _first_ids(self, words: list[str]) -> list[list[int]]:
+        """A space and plain letters are one piece, and so is punctuation after them; all
+        other words go through the tokenizer as they stand."""
+        spell, ids, odd = self.first.model.tokenize, [], []
+        for number, word in enumerate(words):
+            body = word[1:]
+            stem = body.rstrip(_TAIL)
+            tail = body[len(stem) :]
+            if PLAIN.fullmatch(stem) and len(tail) < 4:
+                found = [token.id for token in spell(self.letter_of_space + (stem if stem.isascii() else byte_level(stem)))]
+                if tail:
+                    if tail not in self.tails:
+                        self.tails[tail] = self.first.encode(tail, add_special_tokens=False).ids
+                    found += self.tails[tail]
+                ids.append(found)
+            else:
+                odd.append(number)
+                ids.append(None)
+        rest = self.first.encode_batch_fast([words[number] for number in odd], add_special_tokens=False)
+        for number, encoding in zip(odd, rest, strict=True):
+            ids[number] = encoding.ids
+        return ids
 
     def _aligned(self, word: bytes, a: list[int], b: list[int]) -> tuple[str, int, int, int, bytes] | None:
-        of_a, of_b = [self.first_spelt[i] for i in a], [self.second_spelt[i] for i in b]
-        if b"".join(of_a) != word or b"".join(of_b) != word:
+        if b"".join(map(self.spelt_a, a)) != word or b"".join(map(self.spelt_b, b)) != word:
             return None
-        ends_a, ends_b = list(accumulate(map(len, of_a))), list(accumulate(map(len, of_b)))
+        ends_a, ends_b = list(accumulate(map(self.length_a, a))), list(accumulate(map(self.length_b, b)))
         cuts, groups, i, k = shared_cuts(ends_a, ends_b), [], 0, 0
         for j, m in cuts:
-            groups.append(f"{','.join(map(str, a[i:j]))}|{','.join(map(str, b[k:m]))}")
+            if j - i == m - k == 1:
+                groups.append(f"{a[i]}|{b[k]}")
+            else:
+                groups.append(f"{','.join(map(str, a[i:j]))}|{','.join(map(str, b[k:m]))}")
             i, k = j, m
-        pairs = [a[i] * self.pieces + b[k] for i, k in overlaps(ends_a, ends_b)]
+        pieces = self.pieces
+        pairs = [a[i] * pieces + b[k] for i, k in overlaps(ends_a, ends_b)]
         return ";".join(groups), len(a), len(b), len(cuts), pack(f"<{len(pairs)}I", *pairs)
 
 

@@ -5,15 +5,16 @@ from __future__ import annotations
 import os
 import re
 from functools import lru_cache
+from struct import pack as packed
 
 import numpy as np
 from tokenizers import Tokenizer
 
 #: Words that a worker keeps spelled out; twice as many are held at most.
-KEPT_WORDS = 250_000
+KEPT_WORDS = 400_000
 _TAIL = ".,;:!?"
 #: Letters that normalisation only lower-cases, one for one: ASCII and Latin-1.
-_PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -31,6 +32,14 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in printable else chr(256 + others.index(b)) for b in range(256)]
 
 
+_LETTER_OF = dict(enumerate(byte_letters()))
+
+
+def byte_level(text: str) -> str:
+    """The text's bytes as the characters of byte-level vocabularies."""
+    return text.encode().decode("latin-1").translate(_LETTER_OF)
+
+
 class Remembered:
     """A mapping of bounded size: what was used since the last turn survives a turn."""
 
@@ -41,13 +50,12 @@ class Remembered:
         """The keys that are not known; known ones are moved to the new generation."""
         if len(self.new) > self.size:
             self.old, self.new = self.new, {}
-        new, old, unknown = self.new, self.old, set()
-        for key in keys:
-            if key not in new:
-                if key in old:
-                    new[key] = old[key]
-                else:
-                    unknown.add(key)
+        new, old = self.new, self.old
+        unknown = {key for key in keys if key not in new}
+        if old:
+            found = {key: old[key] for key in unknown if key in old}
+            new.update(found)
+            unknown.difference_update(found)
         return unknown
 
 
@@ -64,36 +72,29 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are the threads
         self.tokenizer = Tokenizer.from_file(path)
         self.spell = self.tokenizer.model.tokenize
-        self.as_bytes = dict(enumerate(byte_letters()))
         self.words = Remembered(KEPT_WORDS)
         self.tails: dict[str, bytes] = {"": b""}
 
     def __call__(self, text: str) -> bytes:
         words = text.replace("\n", " ").split(" ")
-        try:
-            known = self.words.new
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            self._learn(self.words.missing(words))
-            known = self.words.new
-            return b"".join([known[w] for w in words])
+        unknown = self.words.missing(words)
+        if unknown:
+            self._learn(unknown)
+        return b"".join(map(self.words.new.__getitem__, words))
 
     def _learn(self, words: set[str]) -> None:
-        known, odd = self.words.new, []
+        known, odd, spell, is_plain, letters_of = self.words.new, [], self.spell, PLAIN.fullmatch, byte_level
         for word in words:
             stem = word.rstrip(_TAIL)
-            if _PLAIN.fullmatch(stem):
-                known[word] = self._piece(stem.lower()) + self._tail(word[len(stem) :])
+            if is_plain(stem):
+                tokens = spell(stem.lower() if stem.isascii() else letters_of(stem.lower()))
+                ids = packed(f"<{len(tokens)}I", *[token.id for token in tokens])
+                known[word] = ids if len(stem) == len(word) else ids + self._tail(word[len(stem) :])
             else:
                 odd.append(word)
         for word, encoding in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False), strict=True):
             known[word] = np.array(encoding.ids, "<u4").tobytes()
 
-    def _piece(self, letters: str) -> bytes:
-        if not letters.isascii():
-            letters = letters.encode().decode("latin-1").translate(self.as_bytes)
-        return np.array([token.id for token in self.spell(letters)], "<u4").tobytes()
-
     def _tail(self, tail: str) -> bytes:
         if tail not in self.tails:
             ids = np.array(self.tokenizer.encode(tail, add_special_tokens=False).ids, "<u4").tobytes()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 DOCUMENT, LOADED_AT, ROW_ID = "data", "_loaded_at", "_row_id"
 
@@ -21,23 +22,127 @@ def read_lines(spark: SparkSession, path, mode: str = "FAILFAST") -> DataFrame:
     )
 
 
-def read_arrays(spark: SparkSession, path, mode: str = "FAILFAST") -> DataFrame:
-    """Documents from files that each hold one JSON array of objects.
+def _structure(chunk: Column, inside: bool) -> Column:
+    """The text without strings, read from outside or inside of a string. Escaped
+    characters are gone already, so every quote opens or closes."""
+    return F.regexp_replace(F.concat(F.lit('"'), chunk) if inside else chunk, '"[^"]*("|$)', "")
+
+
+def _occurrences(text: Column, *letters: str) -> Column:
+    return F.length(text) - F.length(F.translate(text, "".join(letters), ""))
+
+
+def _chunks(spark: SparkSession, path) -> DataFrame:
+    """Files cut behind every closing brace, whatever it closes. Byte ranges of a file are
+    read by different tasks: ``file``, ``block`` (where the range starts), ``at`` (grows
+    with the position), ``chunk``, and for chunks that begin outside (0) or inside (1)
+    of a string how much deeper they end than they began."""
+    cut = spark.read.option("lineSep", "}").text(path)
+    cut = cut.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+        F.col("value").alias("chunk"),
+    )
+    plain = F.regexp_replace("chunk", r"(?s)\\.", "")
+    cut = cut.withColumn("plain", plain).withColumn("quotes", _occurrences(F.col("plain"), '"'))
+    deeper = []
+    for inside in (0, 1):
+        bare = _structure(F.col("plain"), bool(inside))
+        closes = F.when((F.col("quotes") + inside) % 2 == 0, 1).otherwise(0)
+        deeper.append((_occurrences(bare, "{", "[") - _occurrences(bare, "]") - closes).alias(f"deeper{inside}"))
+    return cut.select("file", "block", "at", "chunk", "quotes", *deeper)
+
+
+def _with_ends(chunks: DataFrame) -> DataFrame:
+    """Marks the chunks that end an element of the outer array: ``ends``.
 
-    Such a file cannot be split: each is parsed by one task as one variant, so
-    its size is bounded by Spark's variant limit. Large inputs belong in lines.
+    Whether a range begins inside of a string and how deep it is nested is unknown to the
+    task that reads it, so each range is summed up for both cases. The sums are one row
+    per range; running totals over them tell which case holds, and how deep.
     """
-    whole = (
-        spark.read.option("singleVariantColumn", DOCUMENT)
-        .option("multiLine", True)
-        .option("mode", mode)
-        .json(path)
+    within = Window.partitionBy("file", "block").orderBy("at")
+    earlier = within.rowsBetween(Window.unboundedPreceding, -1)
+    upto = within.rowsBetween(Window.unboundedPreceding, 0)
+    local = chunks.withColumn("quoted", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
+    for case in (0, 1):
+        step = F.when(F.col("quoted") == case, F.col("deeper0")).otherwise(F.col("deeper1"))
+        local = local.withColumn(f"step{case}", step)
+    local = local.withColumns({f"depth{case}": F.sum(f"step{case}").over(upto) for case in (0, 1)})
+    ranges = local.groupBy("file", "block").agg(
+        F.sum("quotes").alias("quotes"), F.sum("step0").alias("step0"), F.sum("step1").alias("step1"), F.max("at").alias("last")
+    )
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.withColumn("inside", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2)
+    step = F.when(F.col("inside") == 0, F.col("step0")).otherwise(F.col("step1"))
+    ranges = ranges.withColumn("step", step).select(
+        "file",
+        "block",
+        "inside",
+        F.coalesce(F.sum("step").over(before), F.lit(0)).alias("base"),
+        F.max("last").over(Window.partitionBy("file")).alias("last"),
     )
-    return whole.select(
-        F.explode(F.variant_get(DOCUMENT, "$", "array<variant>")).alias(DOCUMENT)
+    joined = local.join(ranges, ["file", "block"])
+    depth = F.col("base") + F.when(F.col("inside") == 0, F.col("depth0")).otherwise(F.col("depth1"))
+    outside = (F.col("inside") + F.col("quoted") + F.col("quotes")) % 2 == 0
+    final = F.col("at") == F.col("last")
+    return joined.select(
+        "file", "block", "at", "chunk", final.alias("final"), depth.alias("depth"),
+        ((depth == 1) & outside & ~final).cast("int").alias("ends"),
     )
 
 
+def _elements(chunks: DataFrame) -> DataFrame:
+    """``file``, ``number`` and ``text`` of every element, put together from its chunks.
+    What follows the last element has a number of its own."""
+    earlier = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = chunks.groupBy("file", "block").agg(F.sum("ends").alias("ends"))
+    ranges = ranges.select("file", "block", F.coalesce(F.sum("ends").over(before), F.lit(0)).alias("base"))
+    numbered = chunks.withColumn("here", F.coalesce(F.sum("ends").over(earlier), F.lit(0)))
+    numbered = numbered.join(ranges, ["file", "block"]).withColumn("number", F.col("base") + F.col("here"))
+    part = F.struct("at", "chunk", "final", "depth")
+    whole = numbered.groupBy("file", "number").agg(F.array_sort(F.collect_list(part)).alias("parts"))
+    joined = F.array_join(F.transform("parts", lambda p: p["chunk"]), "}")
+    last = F.element_at("parts", -1)
+    text = F.when(last["final"], joined).otherwise(F.concat(joined, F.lit("}")))
+    return whole.select("file", "number", text.alias("text"), last["final"].alias("final"), last["depth"].alias("depth"))
+
+
+def read_arrays(spark: SparkSession, path, mode: str = "FAILFAST") -> DataFrame:
+    """Documents from files that each hold one JSON array, in the order of the files'
+    names and of the array.
+
+    A file of any size is read by many tasks, a byte range each; only its elements are
+    parsed. ``mode`` is that of ``read_lines``, and applies to elements. Of a file that does
+    not begin with ``[``, the first element is malformed, and of one that does not end
+    with the ``]`` that closes it, the last.
+    """
+    modes = ("FAILFAST", "DROPMALFORMED", "PERMISSIVE")
+    if mode not in modes:
+        raise ValueError(f"mode is one of {modes}")
+    elements = _elements(_with_ends(_chunks(spark, path)))
+    opened, closed = r"^\s*(\[)", r"\]\s*$"
+    body = F.regexp_replace("text", F.when(F.col("number") == 0, opened).otherwise(r"^\s*(,)"), "")
+    body = F.when(F.col("final"), F.regexp_replace(body, F.lit(closed), "")).otherwise(body)
+    # outside of the array is one brace less than before it, for the one that is not there
+    whole = (F.col("number") > 0) | F.col("text").rlike(opened)
+    whole &= ~F.col("final") | ((F.col("depth") == -1) & F.col("text").rlike(closed))
+    listed = F.concat(F.lit("["), body, F.lit("]"))
+    if mode == "FAILFAST":
+        broken = F.raise_error(F.concat(F.lit("no JSON array of whole elements: "), F.col("file")))
+        parsed = F.parse_json(F.when(whole, listed).otherwise(broken.cast("string")))
+    else:
+        parsed = F.try_parse_json(F.when(whole, listed))
+    rows = elements.select("file", "number", F.variant_get(parsed, "$", "array<variant>").alias("found"))
+    found = F.posexplode_outer if mode == "PERMISSIVE" else F.posexplode
+    if mode == "PERMISSIVE":
+        # what follows the last element is empty as a rule, which is no malformed element
+        rows = rows.filter(F.col("found").isNull() | (F.size("found") > 0))
+    rows = rows.select("file", "number", found("found").alias("place", DOCUMENT))
+    return rows.orderBy("file", "number", "place").select(DOCUMENT)
+
+
 def as_bronze(documents: DataFrame, loaded_at: Column | None = None) -> DataFrame:
     """Adds the load time, constant in one load, and a unique row number.
 

@@ -166,39 +166,48 @@ def primary_key(table: str, *columns: str, severity: str = ERROR) -> list[Check]
     return [Unique(table, severity, columns), *[NotNull(table, severity, c) for c in columns]]
 
 
+def conditions(checks: list[Check], table: str) -> dict[str, Column]:
+    """What to count, by check, while the rows of a table are written."""
+    return {c.name: c.violated() for c in checks if isinstance(c, RowCheck) and c.table == table}
+
+
 def _row_checks_of(table: str, checks: list[RowCheck], tables: dict[str, DataFrame]) -> DataFrame:
     counted = tables[table].agg(
         *[F.count_if(check.violated()).alias(f"c{i}") for i, check in enumerate(checks)]
     )
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(table).alias("table_name"),
-                F.lit(check.name).alias("check_name"),
-                F.lit(check.severity).alias("severity"),
-                F.col(f"c{i}").alias("failures"),
-            )
-            for i, check in enumerate(checks)
-        ]
-    )
+    rows = F.array(*[_result(check, F.col(f"c{i}")) for i, check in enumerate(checks)])
     return counted.select(F.inline(rows))
 
 
-def run_checks(checks: list[Check], tables: dict[str, DataFrame]) -> DataFrame:
-    """``table_name``, ``check_name``, ``severity`` and ``failures``, a row per check."""
-    parts, by_table = [], {}
+def _result(check: Check, failures: Column) -> Column:
+    return F.struct(
+        F.lit(check.table).alias("table_name"),
+        F.lit(check.name).alias("check_name"),
+        F.lit(check.severity).alias("severity"),
+        failures.cast("bigint").alias("failures"),
+    )
+
+
+def run_checks(
+    checks: list[Check], tables: dict[str, DataFrame], counts: dict[str, dict[str, int]] | None = None
+) -> DataFrame:
+    """``table_name``, ``check_name``, ``severity`` and ``failures``, a row per check.
+
+    ``counts`` holds, by table, what was counted while it was written: checks on single
+    rows of these tables read nothing again.
+    """
+    parts, by_table, known = [], {}, []
     for check in dict.fromkeys(checks):
-        if isinstance(check, RowCheck):
+        counted = (counts or {}).get(check.table) or {}
+        if isinstance(check, RowCheck) and check.name in counted:
+            known.append(_result(check, F.lit(counted[check.name])))
+        elif isinstance(check, RowCheck):
             by_table.setdefault(check.table, []).append(check)
         else:
-            parts.append(
-                check.failures(tables).select(
-                    F.lit(check.table).alias("table_name"),
-                    F.lit(check.name).alias("check_name"),
-                    F.lit(check.severity).alias("severity"),
-                    "failures",
-                )
-            )
+            parts.append(check.failures(tables).select(F.inline(F.array(_result(check, F.col("failures"))))))
+    if known:
+        some = next(iter(tables.values())).sparkSession.range(1)
+        parts.append(some.select(F.inline(F.array(*known))))
     parts += [_row_checks_of(table, some, tables) for table, some in by_table.items()]
     return reduce(DataFrame.unionByName, parts)
 

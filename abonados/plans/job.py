@@ -15,6 +15,8 @@ from abonados.sources import bronze as B
 from abonados.sources.tables import LayerStore
 
 Tables = dict[str, DataFrame]
+#: Table of each layer with the outcome of its checks.
+CHECK_RESULTS = "check_results"
 
 
 @dataclass(frozen=True)
@@ -114,9 +116,14 @@ def stored_tables(store: LayerStore) -> Tables:
 
 
 def build(
-    store: LayerStore, models: list[Model], as_of: Column | None = None, strict: bool = False
+    store: LayerStore,
+    models: list[Model],
+    as_of: Column | None = None,
+    strict: bool = False,
+    checks: list[Q.Check] | None = None,
 ) -> Tables:
-    """Writes the tables among the models and registers the views among them."""
+    """Writes the tables among the models and registers the views among them. Violations
+    of ``checks`` on single rows are counted in the same pass."""
     tables = stored_tables(store)
     for model in models:
         result = model.apply(tables, as_of, strict)
@@ -125,7 +132,8 @@ def build(
             tables[model.name] = result
         else:
             tables[model.name] = store.write(
-                model.layer, model.name, result, model.bucket_by, model.gather
+                model.layer, model.name, result, model.bucket_by, model.gather,
+                Q.conditions(checks or [], model.name),
             )
     return tables
 
@@ -133,10 +141,17 @@ def build(
 def run_layer(
     store: LayerStore, layer: str, as_of: Column | None = None, gate: bool = True, strict: bool = False
 ) -> DataFrame:
-    """Builds a layer and checks it. With ``gate``, failed checks of severity error raise."""
-    tables = build(store, select_models(layer), as_of, strict)
+    """Builds a layer and checks it. With ``gate``, failed checks of severity error raise.
+
+    Every check is evaluated once: those on single rows while the rows are written, the
+    others after it. The results are kept as the layer's table ``check_results``, also
+    of a layer that fails.
+    """
     checks = K.SILVER_CHECKS + K.KEY_CHECKS + K.DESCRIBED_CHECKS if layer == "silver" else K.GOLD_CHECKS
-    results = Q.run_checks(checks, tables)
+    models = select_models(layer)
+    tables = build(store, models, as_of, strict, checks)
+    counts = {m.name: store.counts(layer, m.name) for m in models if not m.view}
+    results = store.write(layer, CHECK_RESULTS, Q.run_checks(checks, tables, counts).coalesce(1))
     if gate:
         Q.enforce(results)
     return results

@@ -2,19 +2,61 @@
 
 from __future__ import annotations
 
+import json
+import math
+import re
 import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-
-def fitting_buckets(spark: SparkSession) -> int:
-    """Buckets such that every shuffle partition falls into a single one.
-
-    That is a divisor of the number of shuffle partitions, at most four per core.
-    """
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    most = min(partitions, 4 * spark.sparkContext.defaultParallelism)
-    return max(n for n in range(1, most + 1) if partitions % n == 0)
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import asdict, dataclass
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+#: Stored bytes of raw documents for each bucket of the tables made from them.
+BUCKET_BYTES = 128 << 20
+#: Buckets of small tables, and of the largest: one file each, as many as Spark accepts.
+LEAST_BUCKETS, MOST_BUCKETS = 16, 100_000
+#: Table property that holds a load's layout.
+LAYOUT = "abonados.layout"
+#: Keys that the sketch of rows per key looks for.
+HOT_KEYS = 16
+#: A bucket is uneven if its hottest key alone has more than so many buckets' share.
+UNEVEN = 2.0
+
+
+def buckets_for(stored_bytes: int) -> int:
+    """Buckets for tables made from so many bytes; neither cores nor shuffle settings count."""
+    return min(max(math.ceil(stored_bytes / BUCKET_BYTES), LEAST_BUCKETS), MOST_BUCKETS)
+
+
+@dataclass(frozen=True)
+class Layout:
+    """How a load was laid out: ``hottest`` is about how many rows the key with most rows
+    has, which share one bucket however many there are."""
+
+    key: str
+    buckets: int
+    rows: int
+    hottest: int
+
+    @property
+    def uneven(self) -> bool:
+        """Whether the hottest key outgrows the even share of a bucket."""
+        return self.hottest * self.buckets > UNEVEN * max(self.rows, 1)
+
+
+@contextmanager
+def _shuffled_into(spark: SparkSession, partitions: int | None) -> Iterator[None]:
+    """While it lasts, shuffles have so many partitions: each is one bucket then."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    if partitions:
+        spark.conf.set(key, str(partitions))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 class LayerStore:
@@ -26,11 +68,22 @@ class LayerStore:
     ``drop_replaced`` is called.
     """
 
-    def __init__(self, spark: SparkSession, root: str, prefix: str = "public", buckets: int | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        prefix: str = "public",
+        buckets: int | None = None,
+        sized_by: tuple[str, str] | None = None,
+    ):
+        """Tables are bucketed if ``buckets`` gives a number, or ``sized_by`` the layer and
+        name of the table whose stored bytes decide: all tables made from it agree."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.prefix = prefix
         self.buckets = buckets
+        self.sized_by = sized_by
+        self._counts: dict[tuple[str, str], dict[str, int]] = {}
 
     def database(self, layer: str) -> str:
         return f"{self.prefix}_{layer}"
@@ -51,28 +104,79 @@ class LayerStore:
         df: DataFrame,
         bucket_by: str | None = None,
         gather: bool = False,
+        counted: dict[str, Column] | None = None,
     ) -> DataFrame:
         """Full refresh. With buckets, later joins on the column need no shuffle.
 
-        A frame that is not partitioned by the column yet is to be ``gathered``
-        first, or each task would write a file for each bucket.
+        Shuffles of the write have one partition for each bucket, so a frame that is
+        partitioned by the column writes one file for each. One that is not is to be
+        ``gathered`` first. The layout is kept with the table.
+
+        ``counted`` names conditions; how many rows fulfil each is observed while they are
+        written, and ``counts`` tells it.
         """
         self.spark.sql(
             f"CREATE DATABASE IF NOT EXISTS {self.database(layer)} LOCATION '{self.root}/{layer}'"
         )
         load = f"{table}__{uuid.uuid4().hex}"
-        bucketed = bucket_by and self.buckets
-        if bucketed and gather:
-            df = df.repartition(self.buckets, bucket_by)
+        self._counts.pop((layer, table), None)
+        observed = Observation()
+        if counted:
+            tests = [F.count_if(test).alias(name) for name, test in counted.items()]
+            df = df.observe(observed, *tests)
+        buckets = self.bucket_count() if bucket_by else None
+        if buckets and gather:
+            df = df.repartition(buckets, bucket_by)
         writer = df.write.format("parquet").option("path", f"{self.root}/{layer}/{load}")
-        if bucketed:
-            writer = writer.bucketBy(self.buckets, bucket_by).sortBy(bucket_by)
-        writer.saveAsTable(self.name(layer, load))
+        if buckets:
+            writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
+        with _shuffled_into(self.spark, buckets):
+            writer.saveAsTable(self.name(layer, load))
+        if counted:
+            self._counts[layer, table] = observed.get
+        if buckets:
+            self._keep_layout(layer, load, bucket_by, buckets)
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.name(layer, table)} AS SELECT * FROM {self.name(layer, load)}"
         )
         return self.read(layer, table)
 
+    def bucket_count(self) -> int | None:
+        """Buckets of tables that are written now; None for none."""
+        if self.buckets or not self.sized_by or not self.exists(*self.sized_by):
+            return self.buckets
+        return buckets_for(self.stored_bytes(*self.sized_by))
+
+    def current_load(self, layer: str, table: str) -> str:
+        """The load that readers of a table see."""
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(layer, table)}")
+        text = described.filter("col_name = 'View Text'").first()["data_type"]
+        return re.search(rf"{re.escape(table)}__[0-9a-f]+", text).group()
+
+    def stored_bytes(self, layer: str, table: str) -> int:
+        """Bytes of the current load's files, as the file system sums them up."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{layer}/{self.current_load(layer, table)}")
+        files = path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        return files.getContentSummary(path).getLength()
+
+    def _keep_layout(self, layer: str, load: str, key: str, buckets: int) -> None:
+        # reads the one column that was written last; the sketch has a fixed size
+        stored = self.spark.table(self.name(layer, load)).filter(F.col(key).isNotNull())
+        row = stored.agg(F.count("*").alias("rows"), F.expr(f"approx_top_k(`{key}`, {HOT_KEYS})").alias("hot")).first()
+        layout = Layout(key, buckets, row["rows"], max((hot["count"] for hot in row["hot"]), default=0))
+        kept = json.dumps(asdict(layout)).replace("'", "")
+        self.spark.sql(f"ALTER TABLE {self.name(layer, load)} SET TBLPROPERTIES ('{LAYOUT}' = '{kept}')")
+
+    def layout(self, layer: str, table: str) -> Layout | None:
+        """The current load's layout; None for tables without buckets."""
+        load = self.name(layer, self.current_load(layer, table))
+        kept = {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {load}").collect()}
+        return Layout(**json.loads(kept[LAYOUT])) if LAYOUT in kept else None
+
+    def counts(self, layer: str, table: str) -> dict[str, int] | None:
+        """What was observed when this store last wrote the table; None if nothing was."""
+        return self._counts.get((layer, table))
+
     def replace_unless_empty(self, layer: str, table: str, df: DataFrame) -> bool:
         """Full refresh that keeps the old contents if there is nothing to load."""
         if df.isEmpty():
@@ -87,11 +191,9 @@ class LayerStore:
 
     def drop_replaced(self, layer: str, table: str) -> list[str]:
         """Takes earlier loads out of the catalog; their folders are returned for removal."""
-        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(layer, table)}")
-        view_text = described.filter("col_name = 'View Text'").first()["data_type"]
-        gone = []
+        current, gone = self.current_load(layer, table), []
         for load in self.loads(layer, table):
-            if load not in view_text:
+            if load != current:
                 self.spark.sql(f"DROP TABLE {self.name(layer, load)}")
                 gone.append(f"{self.root}/{layer}/{load}")
         return gone

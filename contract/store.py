@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from abonados.plans import checks as K
 from abonados.plans.job import MODELS
 from abonados.session import shared_dir
-from abonados.sources.tables import LayerStore, fitting_buckets
+from abonados.sources.tables import LayerStore
 from contract import documents
 
 AS_OF = documents.AS_OF
@@ -23,7 +23,7 @@ def layer_store(spark: SparkSession, sf_dir: str) -> LayerStore:
     if (app, sf_dir) not in _STORES:
         mark = hashlib.md5(sf_dir.encode()).hexdigest()[:8]
         root = f"{shared_dir(spark)}/abonados-{app}-{mark}"
-        _STORES[app, sf_dir] = LayerStore(spark, root, f"abonados_{mark}", fitting_buckets(spark))
+        _STORES[app, sf_dir] = LayerStore(spark, root, f"abonados_{mark}", sized_by=("bronze", K.BRONZE))
     return _STORES[app, sf_dir]
 
 

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from abonados.operators import quality as Q
+from abonados.operators import rejects as R
 from abonados.plans import checks as K
 from abonados.plans import gold, silver
 from abonados.sources import bronze as B
@@ -17,6 +18,8 @@ from abonados.sources.tables import LayerStore
 Tables = dict[str, DataFrame]
 #: Table of each layer with the outcome of its checks.
 CHECK_RESULTS = "check_results"
+#: Tables of the silver layer about values that cleaning lost: counts, and the values.
+REJECTED_VALUES, REJECTED_ROWS = "rejected_values", "rejected_rows"
 
 
 @dataclass(frozen=True)
@@ -40,11 +43,13 @@ class Model:
     gather: bool = False
     converts: bool = False
 
-    def apply(self, tables: Tables, as_of: Column | None = None, strict: bool = False) -> DataFrame:
+    def apply(
+        self, tables: Tables, as_of: Column | None = None, strict: bool = False, rejected: Observation | None = None
+    ) -> DataFrame:
         given = [tables[name] for name in self.inputs]
         if self.dated:
             given.append(as_of)
-        return self.build(*given, strict=strict) if self.converts else self.build(*given)
+        return self.build(*given, strict=strict, rejected=rejected) if self.converts else self.build(*given)
 
 
 def _view(name: str, *tags: str, inputs: tuple[str, ...] = (K.ANALYTICS,)) -> Model:
@@ -123,10 +128,13 @@ def build(
     checks: list[Q.Check] | None = None,
 ) -> Tables:
     """Writes the tables among the models and registers the views among them. Violations
-    of ``checks`` on single rows are counted in the same pass."""
+    of ``checks`` on single rows are counted in the same pass, and so are values that got
+    lost: their counts are the table ``rejected_values`` of the layer."""
     tables = stored_tables(store)
+    lost: dict[str, list] = {}
     for model in models:
-        result = model.apply(tables, as_of, strict)
+        rejected = Observation() if model.converts else None
+        result = model.apply(tables, as_of, strict, rejected)
         if model.view:
             result.createOrReplaceTempView(model.name)
             tables[model.name] = result
@@ -135,9 +143,19 @@ def build(
                 model.layer, model.name, result, model.bucket_by, model.gather,
                 Q.conditions(checks or [], model.name),
             )
+            if rejected:
+                lost.setdefault(model.layer, []).extend(R.counted(model.name, rejected.get))
+    for layer, rows in lost.items():
+        # a row per field and reason
+        store.write(layer, REJECTED_VALUES, store.spark.createDataFrame(rows, R.COUNTS_SCHEMA).coalesce(1))
     return tables
 
 
+def quarantine(store: LayerStore) -> DataFrame:
+    """Writes every rejected value of the stored documents as the table ``rejected_rows``."""
+    return store.write("silver", REJECTED_ROWS, R.quarantine(store.read("bronze", K.BRONZE)))
+
+
 def run_layer(
     store: LayerStore, layer: str, as_of: Column | None = None, gate: bool = True, strict: bool = False
 ) -> DataFrame:

@@ -5,13 +5,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from abonados.functions import cleaning as C
 from abonados.functions import documents as D
 from abonados.functions import parsing as P
 from abonados.functions import vocabulary as V
+from abonados.operators import rejects as R
 from abonados.operators.latest import keep_latest
 
 CUSTOMER_COLUMNS = (
@@ -28,8 +29,11 @@ def _newest_first() -> list[Column]:
     return [F.col("_loaded_at").desc_nulls_first(), F.col("_row_id").desc()]
 
 
-def cleaned_customers(bronze: DataFrame, strict: bool = False) -> DataFrame:
-    """One cleaned row per document, before deduplication."""
+def cleaned_customers(
+    bronze: DataFrame, strict: bool = False, rejected: Observation | None = None
+) -> DataFrame:
+    """One cleaned row per document, before deduplication. ``rejected`` observes how many
+    values of each field got lost, over all documents."""
     doc = F.col("data")
 
     def text(key: str) -> Column:
@@ -64,7 +68,10 @@ def cleaned_customers(bronze: DataFrame, strict: bool = False) -> DataFrame:
         text("record_uuid").alias("record_uuid"),
         "_loaded_at",
         "_row_id",
+        *([R.with_reasons(R.customer_reasons(doc))] if rejected else []),
     )
+    if rejected:
+        raw = R.observed(raw, rejected)
     keyed = raw.withColumns(
         {
             "city_key": F.lower("city_plain"),
@@ -97,13 +104,15 @@ def cleaned_customers(bronze: DataFrame, strict: bool = False) -> DataFrame:
     )
 
 
-def customers(bronze: DataFrame, strict: bool = False) -> DataFrame:
+def customers(
+    bronze: DataFrame, strict: bool = False, rejected: Observation | None = None
+) -> DataFrame:
     """One row per customer: the newest document, if its registration date is valid.
 
     The newest document is chosen first; an older one does not stand in for it.
     """
     newest = keep_latest(
-        cleaned_customers(bronze, strict).filter(F.col("customer_id").isNotNull()),
+        cleaned_customers(bronze, strict, rejected).filter(F.col("customer_id").isNotNull()),
         ["customer_id"],
         _newest_first(),
     )
@@ -129,7 +138,9 @@ def _payment_documents(bronze: DataFrame, strict: bool) -> DataFrame:
     )
 
 
-def payments(bronze: DataFrame, strict: bool = False) -> DataFrame:
+def payments(
+    bronze: DataFrame, strict: bool = False, rejected: Observation | None = None
+) -> DataFrame:
     """One row per valid payment of the newest usable document of each customer.
 
     Elements are flattened and typed before the shuffle, so that narrow columns
@@ -150,7 +161,10 @@ def payments(bronze: DataFrame, strict: bool = False) -> DataFrame:
         D.field_text(payment, "date").alias("date_text"),
         D.field(payment, "amount").alias("amount_value"),
         C.status_key(D.field_text(payment, "status")).alias("status_key"),
+        *([R.with_reasons(R.payment_reasons(payment))] if rejected else []),
     )
+    if rejected:
+        texts = R.observed(texts, rejected)
     typed = texts.select(
         "customer_id",
         "_loaded_at",
@@ -169,7 +183,11 @@ def payments(bronze: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def customer_services(
-    bronze: DataFrame, services: DataFrame, as_of: Column | None = None, strict: bool = False
+    bronze: DataFrame,
+    services: DataFrame,
+    as_of: Column | None = None,
+    strict: bool = False,
+    rejected: Observation | None = None,
 ) -> DataFrame:
     """One row per customer and contracted service.
 
@@ -185,7 +203,10 @@ def customer_services(
         C.clean_customer_status(D.field_text(doc, "status")).alias("status"),
         "_loaded_at",
         "_row_id",
+        *([R.with_reasons(R.service_reasons(doc))] if rejected else []),
     )
+    if rejected:
+        documents = R.observed(documents, rejected)
     coded = documents.select("*", F.explode("tokens").alias("token")).withColumn(
         "service_code", F.upper(F.trim("token"))
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from abonados.functions import documents as D
-from abonados.operators import audit, quality
+from abonados.operators import audit, numbering, quality
 from abonados.plans import checks as K
 from abonados.plans import job
 from abonados.sources import bronze as B
@@ -314,3 +314,13 @@ def _layered_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ONE_LOAD = _expect({**_EXPECTED, **_KEYS, **_DESCRIBED, **_GOLD}).replace("loaded_at DESC, ", "")
 add("i13_layered_run", _layered_run, _ONE_LOAD)
+
+
+def _dense(raw: DataFrame) -> DataFrame:
+    """Documents numbered without gaps, the newest load first."""
+    rows = raw.select(F.col("_row_id").alias("row_id"), "_loaded_at")
+    return numbering.dense_numbers(rows, [F.col("_loaded_at").desc_nulls_first(), F.col("row_id")]).select("row_id", "number")
+
+
+query("w3_dense_numbers", K.BRONZE, oracle=O.with_parts(
+    "SELECT row_id, row_number() OVER (ORDER BY loaded_at DESC NULLS FIRST, row_id) AS number FROM ids", "raw"))(_dense)

@@ -66,8 +66,8 @@ def _entries(tokens: np.ndarray, pairs: np.ndarray, parts: int) -> Iterator[tupl
 
 
 def _counted(blocks: DataFrame, parts: int) -> DataFrame:
-    """Counts for every block: ``at``, ``kind``, ``part``, ``every`` and ``rest`` (without
-    the tuning documents), in the order of the block's keys in that part. A row with
+    """Counts for every block: ``at``, ``kind``, ``part``, ``every`` and, for blocks of
+    tuning documents, ``rest`` (without these documents), in the order of the block's keys in that part. A row with
     ``at`` -1 tells how many distinct words and how many tokens a part has."""
 
     def send(table: pa.Table) -> pa.Table:
@@ -88,18 +88,20 @@ def _counted(blocks: DataFrame, parts: int) -> DataFrame:
         keys = [np.frombuffer(x, np.uint64) for x in table.column("keys").to_pylist()]
         own = np.concatenate([np.frombuffer(x, np.uint32) for x in table.column("n").to_pylist()]).astype(float)
         sizes = [len(x) for x in keys]
+        tunes = (use == TUNE).tolist()
         use = np.repeat(use, sizes)
         _, number = np.unique(np.concatenate(keys), return_inverse=True)
         every = np.bincount(number, np.where(use != OTHER, own, 0)).astype(np.int64)
         rest = np.bincount(number, np.where(use == TRAIN, own, 0)).astype(np.int64)
         out, start = [], 0
-        for block, n in zip(at, sizes, strict=True):
+        for block, n, tune in zip(at, sizes, tunes, strict=True):
             mine = number[start : start + n]
             start += n
-            out.append({"at": block, "kind": kind, "part": part, "every": every[mine].astype("<u8").tobytes(), "rest": rest[mine].astype("<u8").tobytes()})
+            without = rest[mine].astype("<u8").tobytes() if tune else None
+            out.append({"at": block, "kind": kind, "part": part, "every": every[mine].astype("<u8").tobytes(), "rest": without})
         if kind == 0:
             sums = [np.count_nonzero(every), every.sum(), np.count_nonzero(rest), rest.sum()]
-            out.append({"at": -1, "kind": kind, "part": part, "every": np.array(sums, "<u8").tobytes(), "rest": b""})
+            out.append({"at": -1, "kind": kind, "part": part, "every": np.array(sums, "<u8").tobytes(), "rest": None})
         return pa.Table.from_pylist(out, pa.schema([("at", pa.int64()), ("kind", pa.int32()), ("part", pa.int64()), ("every", pa.binary()), ("rest", pa.binary())]))
 
     return sent.groupBy("kind", "part").applyInArrow(count, "at long, kind int, part long, every binary, rest binary")
@@ -186,7 +188,7 @@ def score(documents: DataFrame, training: Column, tuning: Column, id_column: str
         v, n, rv, rn = np.frombuffer(bytes(row["every"]), "<u8").tolist()
         vocabulary, tokens, rest_vocabulary, rest_tokens = vocabulary + v, tokens + n, rest_vocabulary + rv, rest_tokens + rn
     tuned = F.col("at").between(TUNE * parts, (TUNE + 1) * parts - 1)
-    weights = _weights(blocks.filter(F.col("use") == TUNE), counts.filter(tuned), rest_vocabulary, rest_tokens)
+    weights = _weights(blocks.filter(F.col("use") == TUNE), counts.filter(tuned).drop("every"), rest_vocabulary, rest_tokens)
 
     def scored(_, table: pa.Table, held: pa.Table) -> pa.Table:
         word, context, pair, ends = _looked_up(table, held, "every")
@@ -202,5 +204,5 @@ def score(documents: DataFrame, training: Column, tuning: Column, id_column: str
 
     kind = rows.schema["id"].dataType.simpleString()
     schema = f"id {kind}, trained boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    both = blocks.groupBy("at").cogroup(counts.filter("at >= 0").groupBy("at"))
+    both = blocks.groupBy("at").cogroup(counts.filter("at >= 0").drop("rest").groupBy("at"))
     return both.applyInArrow(scored, schema).withColumnRenamed("id", id_column)

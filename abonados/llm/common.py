@@ -43,6 +43,18 @@ def widened(df: DataFrame, **kinds: str) -> T.StructType:
     return T.StructType([*df.schema.fields, *more])
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as no column has it then."""
+    taken = {column.lower() for column in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def lower_ascii(column: Column) -> Column:
     """A-Z in lower case, every other character as it is."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from abonados.llm.common import lower_ascii, stored
+from abonados.llm.common import lower_ascii, stored, unused
 
 #: What separates words: everything in ASCII that is no letter or digit.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -162,10 +162,11 @@ def decontaminate(
     mark = F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
     keyed = documents.select(F.struct(F.col(id_column).alias("i"), mark.alias("m")).alias("doc_id"), F.col(text).alias("text"))
     dirty = contamination(keyed, benchmark, window, share).filter("contaminated").select("doc_id").distinct()
-    dirty = dirty.select(F.col("doc_id.i").alias("_dirty"), F.col("doc_id.m").alias("_mark"))
-    marked = documents.withColumn("_own_mark", mark)
-    same = marked[id_column].eqNullSafe(F.col("_dirty")) & (F.col("_own_mark") == F.col("_mark"))
-    return marked.join(dirty, same, "left_anti").drop("_own_mark")
+    id_name, mark_name, own = unused(documents, "_dirty", "_mark", "_own_mark")
+    dirty = dirty.select(F.col("doc_id.i").alias(id_name), F.col("doc_id.m").alias(mark_name))
+    marked = documents.withColumn(own, mark)
+    same = marked[id_column].eqNullSafe(F.col(id_name)) & (F.col(own) == F.col(mark_name))
+    return marked.join(dirty, same, "left_anti").drop(own)
 
 
 ORACLE = r"""

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from abonados.llm.common import components, hashed_words, mixed, ready, shingles, stored, text_chunks
+from abonados.llm.common import components, hashed_words, mixed, ready, shingles, stored, text_chunks, unused
 
 #: Minwise tokens of a document.
 SLOTS = 128
@@ -395,5 +395,6 @@ def drop_near_duplicates(
     """One document of each component, whole and with the input's columns; rows that
     repeat an id count as one document."""
     judged = near_duplicates(documents, size, percent, id_column, text)
-    lost = judged.filter(~F.col("kept")).select(F.col(id_column).alias("_lost")).distinct()
-    return documents.join(lost, F.col(id_column).eqNullSafe(F.col("_lost")), "left_anti")
+    (name,) = unused(documents, "_lost")
+    lost = judged.filter(~F.col("kept")).select(F.col(id_column).alias(name)).distinct()
+    return documents.join(lost, F.col(id_column).eqNullSafe(F.col(name)), "left_anti")

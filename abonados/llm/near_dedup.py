@@ -47,12 +47,12 @@ _FACTORS = _RNG.integers(1, 2**63, SLOTS, dtype=np.uint64) * np.uint64(2) + np.u
 
 
 def minwise(shingle_set: np.ndarray) -> np.ndarray:
-    """One 32-bit minwise token per slot; the set is not empty."""
+    """One 16-bit minwise token per slot; the set is not empty."""
     least = np.full(SLOTS, np.iinfo(np.uint64).max, np.uint64)
     for start in range(0, len(shingle_set), 1024):
         part = shingle_set[start : start + 1024]
         np.minimum(least, (part[None, :] * _FACTORS[:, None]).min(axis=1), out=least)
-    return (mixed(least) >> np.uint64(32)).astype(np.uint32)
+    return (mixed(least) >> np.uint64(48)).astype(np.uint16)
 
 
 def _chosen(tokens: np.ndarray, nodes: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -66,7 +66,7 @@ def _chosen(tokens: np.ndarray, nodes: np.ndarray, threshold: float) -> tuple[np
 
 def _sketched(documents: DataFrame, size: int, id_column: str, text: str) -> DataFrame:
     """``id``, ``mark`` of the text, ``n`` (size of the set), ``key`` (of the set; null
-    for none) and ``tokens``."""
+    for none), ``tokens``, and the low byte of each of them in ``bits``."""
     rows = documents.select(
         F.col(id_column).alias("id"), F.xxhash64(F.col(text)).alias("mark"), F.col(text).cast("string").alias("text")
     )
@@ -75,7 +75,7 @@ def _sketched(documents: DataFrame, size: int, id_column: str, text: str) -> Dat
         for batch in batches:
             for start, end, data, ends in text_chunks(batch.column(2)):
                 words, upto = hashed_words(data, ends)
-                counts, keys, tokens, begin = [], [], [], 0
+                counts, keys, tokens, bits, begin = [], [], [], [], 0
                 for stop in upto.tolist():
                     found = shingles(words[begin:stop], size)
                     begin = stop
@@ -83,10 +83,13 @@ def _sketched(documents: DataFrame, size: int, id_column: str, text: str) -> Dat
                     if len(found):
                         low = np.bitwise_xor.reduce(mixed(found))
                         keys.append(np.array([low, mixed(found + low).sum()], np.uint64).tobytes())
-                        tokens.append(minwise(found).tobytes())
+                        least = minwise(found)
+                        tokens.append(least.tobytes())
+                        bits.append(least.astype(np.uint8).tobytes())
                     else:
                         keys.append(None)
                         tokens.append(None)
+                        bits.append(None)
                 yield pa.RecordBatch.from_pydict(
                     {
                         "id": batch.column(0)[start:end],
@@ -94,15 +97,16 @@ def _sketched(documents: DataFrame, size: int, id_column: str, text: str) -> Dat
                         "n": pa.array(counts, pa.int64()),
                         "key": pa.array(keys, pa.binary()),
                         "tokens": pa.array(tokens, pa.binary()),
+                        "bits": pa.array(bits, pa.binary()),
                     }
                 )
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(sketch, f"id {kind}, mark long, n long, key binary, tokens binary")
+    return rows.mapInArrow(sketch, f"id {kind}, mark long, n long, key binary, tokens binary, bits binary")
 
 
-def _signatures(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, SLOTS)
+def _signatures(column: pa.Array, kind: type = np.uint16) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, SLOTS)
 
 
 def _roots(classes: DataFrame, trees: range, threshold: float) -> DataFrame:
@@ -148,7 +152,7 @@ def _alike(nodes: DataFrame, classes: DataFrame, least: float) -> DataFrame:
     """Links (``a``, ``b``) between groups (``known``) that look alike in some members
     within a node of ``nodes`` (``node``, ``key``, ``known``): each group with the first
     that it is held together with."""
-    rows = nodes.join(classes.select("key", "tokens"), "key").select("node", "key", "known", "tokens")
+    rows = nodes.join(classes.select("key", "bits"), "key").select("node", "known", "bits")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -174,7 +178,7 @@ def _linked(batches: list[pa.RecordBatch], least: float) -> Iterator[pa.RecordBa
     rows = pa.Table.from_batches(batches).combine_chunks()
     nodes = rows.column("node").to_numpy()
     # a token's low byte tells most pairs apart; agreement by chance is taken off
-    tokens = np.ascontiguousarray(_signatures(rows.column("tokens")).astype(np.uint8))
+    tokens = _signatures(rows.column("bits"), np.uint8)
     need = SLOTS * (least + (1 - least) / 256)
     known = rows.column("known")
     packed = np.frombuffer(b"".join(known.to_pylist()), "S16")
@@ -337,7 +341,7 @@ def near_duplicates(
     named = sketched.filter("key IS NOT NULL").groupBy("key").agg(F.min(first).alias("first"))
     named = stored(named.select("key", F.col("first.id").alias("id"), F.col("first.mark").alias("mark")), "classes")
     same = named["id"].eqNullSafe(sketched["id"]) & (named["mark"] == sketched["mark"]) & (named["key"] == sketched["key"])
-    classes = stored(sketched.join(named, same, "left_semi").select("key", "tokens").dropDuplicates(["key"]), "tokens")
+    classes = stored(sketched.join(named, same, "left_semi").select("key", "tokens", "bits").dropDuplicates(["key"]), "tokens")
 
     alike = stored(_candidates(classes, threshold), "alike")
     groups = stored(components(alike, "a", "b"), "groups")

@@ -35,6 +35,10 @@ REPEATS = 0.7
 #: Lengths of word beginnings.
 STEMS = (4, 5, 6)
 ROUNDS = 12
+#: Patterns of votes that a task sums up, at least, and arrays of sums that are added at a
+#: time, so that arrays follow the number of patterns, not of partitions.
+TASK_PATTERNS = 50_000
+FAN_IN = 16
 
 
 def terms_of(text: str) -> set[str]:
@@ -128,12 +132,18 @@ def _sums(patterns: DataFrame, function, width: int) -> np.ndarray:
                 total += function(matrix, part.column(1).to_numpy().astype(float))
         yield pa.RecordBatch.from_pydict({"sums": pa.array([total.tolist()], pa.list_(pa.float64()))})
 
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(width)
+        for batch in batches:
+            total += batch.column(0).flatten().to_numpy().reshape(-1, width).sum(axis=0)
+        yield pa.RecordBatch.from_pydict({"sums": pa.array([total.tolist()], pa.list_(pa.float64()))})
+
     rows = patterns.select("_votes", "n").mapInArrow(summed, "sums array<double>")
-    merged = rows.select(F.posexplode("sums").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v")).collect()
-    out = np.zeros(width)
-    for row in merged:
-        out[row["i"]] = row["v"]
-    return out
+    parts = patterns.rdd.getNumPartitions()
+    while parts > FAN_IN:
+        parts = -(-parts // FAN_IN)
+        rows = rows.repartition(parts).mapInArrow(added, "sums array<double>")
+    return np.sum([row["sums"] for row in rows.collect()], axis=0, initial=0.0) + np.zeros(width)
 
 
 def _label_model(patterns: DataFrame, m: int, prior: float):
@@ -200,6 +210,7 @@ def train(
         return Model((), (), -4.0, 0.0, (), ())
     texts = votes(corpus.select(F.col(text).cast("string").alias("text")), terms)
     patterns = stored(texts.groupBy("_votes").agg(F.count(F.lit(1)).alias("n")), "patterns")
+    patterns = patterns.coalesce(1 + patterns.count() // TASK_PATTERNS)
     m, k = min(VOTERS, len(terms)), len(terms)
     posterior, base, rates, weight = _label_model(patterns, m, prior)
     w, b = np.zeros(k), np.log(base / (1 - base))

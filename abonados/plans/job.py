@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from abonados.operators import quality as Q
 from abonados.operators import rejects as R
 from abonados.plans import checks as K
-from abonados.plans import gold, silver
+from abonados.plans import gold, silver, views
 from abonados.sources import bronze as B
 from abonados.sources.tables import LayerStore
 
@@ -127,7 +127,7 @@ def build(
     strict: bool = False,
     checks: list[Q.Check] | None = None,
 ) -> Tables:
-    """Writes the tables among the models and registers the views among them. Violations
+    """Writes the tables among the models and stores the views among them. Violations
     of ``checks`` on single rows are counted in the same pass, and so are values that got
     lost: their counts are the table ``rejected_values`` of the layer."""
     tables = stored_tables(store)
@@ -136,7 +136,8 @@ def build(
         rejected = Observation() if model.converts else None
         result = model.apply(tables, as_of, strict, rejected)
         if model.view:
-            result.createOrReplaceTempView(model.name)
+            names = {name: store.name(MODELS[name].layer, name) for name in model.inputs}
+            store.create_view(model.layer, model.name, views.text(model.name, names))
             tables[model.name] = result
         else:
             tables[model.name] = store.write(
@@ -162,16 +163,19 @@ def run_layer(
     """Builds a layer and checks it. With ``gate``, failed checks of severity error raise.
 
     Every check is evaluated once: those on single rows while the rows are written, the
-    others after it. The results are kept as the layer's table ``check_results``, also
-    of a layer that fails.
+    others after it, before anything is published. All tables and views of the layer
+    become current together. A layer that fails leaves the earlier one as it was; only its
+    reports are kept, the tables ``check_results`` and ``rejected_values``.
     """
     checks = K.SILVER_CHECKS + K.KEY_CHECKS + K.DESCRIBED_CHECKS if layer == "silver" else K.GOLD_CHECKS
     models = select_models(layer)
-    tables = build(store, models, as_of, strict, checks)
-    counts = {m.name: store.counts(layer, m.name) for m in models if not m.view}
-    results = store.write(layer, CHECK_RESULTS, Q.run_checks(checks, tables, counts).coalesce(1))
-    if gate:
-        Q.enforce(results)
+    with store.publishing(layer) as block:
+        tables = build(store, models, as_of, strict, checks)
+        counts = {m.name: store.counts(layer, m.name) for m in models if not m.view}
+        results = store.write(layer, CHECK_RESULTS, Q.run_checks(checks, tables, counts).coalesce(1))
+        if gate:
+            block.keep_only(CHECK_RESULTS, REJECTED_VALUES)
+            Q.enforce(results)
     return results
 
 

@@ -8,11 +8,13 @@ import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from abonados.sources.versions import Versions
+
 #: Stored bytes of raw documents for each bucket of the tables made from them.
 BUCKET_BYTES = 128 << 20
 #: Buckets of small tables, and of the largest: one file each, as many as Spark accepts.
@@ -59,13 +61,34 @@ def _shuffled_into(spark: SparkSession, partitions: int | None) -> Iterator[None
         spark.conf.set(key, before)
 
 
+@dataclass
+class Publication:
+    """What a block of ``publishing`` wrote: loads of tables, and texts of views."""
+
+    loads: dict[str, str] = field(default_factory=dict)
+    views: dict[str, str] = field(default_factory=dict)
+    kept: tuple[str, ...] = ()
+
+    def keep_only(self, *tables: str) -> None:
+        """If the block fails these tables are published all the same: reports about it."""
+        self.kept = tables
+
+    def drop_all_but(self, tables: tuple[str, ...]) -> None:
+        self.loads = {table: load for table, load in self.loads.items() if table in tables}
+        self.views = {}
+
+
 class LayerStore:
     """Catalog tables, one database per layer, files below one root folder.
 
-    A write goes to a new folder and table, then a view of the plain name is
-    pointed at it. Readers see the old contents until the new ones are whole,
-    and a failed write leaves the old ones in place. Replaced tables stay until
-    ``drop_replaced`` is called.
+    A write goes to a new folder and table; then a version of the layer is committed that
+    names it, and a view of the plain name is pointed at it. Readers see the old contents
+    until the new ones are whole, and a failed write leaves the old ones in place. Tables
+    written in a block of ``publishing`` become current together, in one version.
+    Replaced tables stay until ``drop_replaced`` or ``remove_replaced`` is called.
+
+    ``read`` goes by the version. Views in the catalog follow it one by one; if a writer
+    ended in between, ``follow_version`` (any next write does it) points them all.
     """
 
     def __init__(
@@ -84,6 +107,54 @@ class LayerStore:
         self.buckets = buckets
         self.sized_by = sized_by
         self._counts: dict[tuple[str, str], dict[str, int]] = {}
+        self._open: dict[str, Publication] = {}
+
+    def versions(self, layer: str) -> Versions:
+        return Versions(self.spark, f"{self.root}/{layer}")
+
+    @contextmanager
+    def publishing(self, layer: str) -> Iterator[Publication]:
+        """Tables and views of the layer written in the block become current together when
+        it ends. If it fails none does, but for tables that ``keep_only`` names. Within
+        the block this store reads what it wrote. Blocks of a layer do not nest: an inner
+        one is part of the outer one."""
+        if layer in self._open:
+            yield self._open[layer]
+            return
+        block = self._open[layer] = Publication()
+        try:
+            yield block
+        except BaseException:
+            block.drop_all_but(block.kept)
+            raise
+        finally:
+            del self._open[layer]
+            if block.loads:
+                self.versions(layer).commit(block.loads)
+                self.follow_version(layer)
+            for name, text in block.views.items():
+                self._create_view(layer, name, text)
+
+    def follow_version(self, layer: str) -> None:
+        """Points the view of each table at its load in the current version."""
+        for table, load in self.versions(layer).current().items():
+            if self.spark.catalog.tableExists(self.name(layer, load)) and self._pointed_at(layer, table) != load:
+                self.spark.sql(
+                    f"CREATE OR REPLACE VIEW {self.name(layer, table)} AS SELECT * FROM {self.name(layer, load)}"
+                )
+
+    def create_view(self, layer: str, name: str, text: str) -> None:
+        """Stores a view as SQL text, which outlives the session and follows its tables. In
+        a block of ``publishing`` it is created when the block ends."""
+        if layer in self._open:
+            self._open[layer].views[name] = text
+        else:
+            self._create_view(layer, name, text)
+
+    def _create_view(self, layer: str, name: str, text: str) -> None:
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(layer, name)} AS {text}")
+        # its plain name for this session, by text too: it is resolved anew in each query
+        self.spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} AS SELECT * FROM {self.name(layer, name)}")
 
     def database(self, layer: str) -> str:
         return f"{self.prefix}_{layer}"
@@ -92,10 +163,20 @@ class LayerStore:
         return f"{self.database(layer)}.{table}"
 
     def exists(self, layer: str, table: str) -> bool:
-        return self.spark.catalog.tableExists(self.name(layer, table))
+        written = layer in self._open and table in self._open[layer].loads
+        return written or self.spark.catalog.tableExists(self.name(layer, table))
 
-    def read(self, layer: str, table: str) -> DataFrame:
-        return self.spark.table(self.name(layer, table))
+    def read(self, layer: str, table: str, version: int | None = None) -> DataFrame:
+        """A table as the current version has it, or an earlier one that is still kept."""
+        if version is not None:
+            return self.spark.table(self.name(layer, self.versions(layer).loads(version)[table]))
+        return self.spark.table(self.name(layer, self._load(layer, table) or table))
+
+    def _load(self, layer: str, table: str) -> str | None:
+        if layer in self._open and table in self._open[layer].loads:
+            return self._open[layer].loads[table]
+        load = self.versions(layer).current().get(table)
+        return load if load and self.spark.catalog.tableExists(self.name(layer, load)) else None
 
     def write(
         self,
@@ -136,9 +217,8 @@ class LayerStore:
             self._counts[layer, table] = observed.get
         if buckets:
             self._keep_layout(layer, load, bucket_by, buckets)
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self.name(layer, table)} AS SELECT * FROM {self.name(layer, load)}"
-        )
+        with self.publishing(layer) as block:
+            block.loads[table] = load
         return self.read(layer, table)
 
     def bucket_count(self) -> int | None:
@@ -149,6 +229,14 @@ class LayerStore:
 
     def current_load(self, layer: str, table: str) -> str:
         """The load that readers of a table see."""
+        load = self._load(layer, table) or self._pointed_at(layer, table)
+        if load is None:
+            raise LookupError(f"{self.name(layer, table)} is not stored")
+        return load
+
+    def _pointed_at(self, layer: str, table: str) -> str | None:
+        if not self.spark.catalog.tableExists(self.name(layer, table)):
+            return None
         described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(layer, table)}")
         text = described.filter("col_name = 'View Text'").first()["data_type"]
         return re.search(rf"{re.escape(table)}__[0-9a-f]+", text).group()
@@ -197,3 +285,20 @@ class LayerStore:
                 self.spark.sql(f"DROP TABLE {self.name(layer, load)}")
                 gone.append(f"{self.root}/{layer}/{load}")
         return gone
+
+    def remove_replaced(self, layer: str, keep: int = 1, older_than: float = 86_400.0) -> list[str]:
+        """Removes loads that none of the ``keep`` newest versions names from the catalog
+        and the file system, also those that a failed write left. Returns their names.
+
+        Loads written in the last ``older_than`` seconds stay: another writer may be about
+        to commit them, or a query may still read them.
+        """
+        versions = self.versions(layer)
+        self.follow_version(layer)
+        loads, numbers = versions.garbage(max(keep, 1), older_than)
+        if layer in self._open:
+            loads = [load for load in loads if load not in self._open[layer].loads.values()]
+        for load in loads:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, load)}")
+        versions.remove(loads, numbers)
+        return loads

@@ -14,11 +14,12 @@ Documents with equal sets are one class from the start, so copies are never pair
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from abonados.llm.common import components, hashed_words, mixed, ready, shingles, stored, text_chunks, unused
@@ -42,6 +43,18 @@ MARGIN = 0.14
 BLOCK = 768
 BLOCK_BYTES = 24_000_000
 
+#: Spark's settings for Bloom filters of join keys: texts are filtered by the members of
+#: candidate groups before they are shuffled.
+_EARLY = {
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1t",
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "4000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "32000000",
+    "spark.sql.optimizer.runtime.bloomFilter.numBits": "67108864",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "268435456",
+}
+
 _RNG = np.random.default_rng(20)
 _FACTORS = _RNG.integers(1, 2**63, SLOTS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -65,10 +78,13 @@ def _chosen(tokens: np.ndarray, nodes: np.ndarray, threshold: float) -> tuple[np
 
 
 def _sketched(documents: DataFrame, size: int, id_column: str, text: str) -> DataFrame:
-    """``id``, ``mark`` of the text, ``n`` (size of the set), ``key`` (of the set; null
+    """``id``, ``mark`` and ``bytes`` of the text, ``n`` (size of the set), ``key`` (of the set; null
     for none), ``tokens``, and the low byte of each of them in ``bits``."""
     rows = documents.select(
-        F.col(id_column).alias("id"), F.xxhash64(F.col(text)).alias("mark"), F.col(text).cast("string").alias("text")
+        F.col(id_column).alias("id"),
+        F.xxhash64(F.col(text)).alias("mark"),
+        F.col(text).cast("string").alias("text"),
+        F.octet_length(F.col(text).cast("string")).cast("long").alias("bytes"),
     )
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,6 +110,7 @@ def _sketched(documents: DataFrame, size: int, id_column: str, text: str) -> Dat
                     {
                         "id": batch.column(0)[start:end],
                         "mark": batch.column(1)[start:end],
+                        "bytes": batch.column(3)[start:end],
                         "n": pa.array(counts, pa.int64()),
                         "key": pa.array(keys, pa.binary()),
                         "tokens": pa.array(tokens, pa.binary()),
@@ -102,7 +119,7 @@ def _sketched(documents: DataFrame, size: int, id_column: str, text: str) -> Dat
                 )
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(sketch, f"id {kind}, mark long, n long, key binary, tokens binary, bits binary")
+    return rows.mapInArrow(sketch, f"id {kind}, mark long, bytes long, n long, key binary, tokens binary, bits binary")
 
 
 def _signatures(column: pa.Array, kind: type = np.uint16) -> np.ndarray:
@@ -337,9 +354,9 @@ def near_duplicates(
     ready(documents.sparkSession)
     threshold = percent / 100
     sketched = stored(_sketched(documents, size, id_column, text), "sketches")
-    first = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("mark"))
+    first = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("mark"), F.col("bytes"))
     named = sketched.filter("key IS NOT NULL").groupBy("key").agg(F.min(first).alias("first"))
-    named = stored(named.select("key", F.col("first.id").alias("id"), F.col("first.mark").alias("mark")), "classes")
+    named = stored(named.select("key", *[F.col(f"first.{x}").alias(x) for x in ("id", "mark", "bytes")]), "classes")
     same = named["id"].eqNullSafe(sketched["id"]) & (named["mark"] == sketched["mark"]) & (named["key"] == sketched["key"])
     classes = stored(sketched.join(named, same, "left_semi").select("key", "tokens", "bits").dropDuplicates(["key"]), "tokens")
 
@@ -348,14 +365,16 @@ def near_duplicates(
     texts = documents.select(
         F.col(id_column).alias("id"), F.xxhash64(F.col(text)).alias("mark"), F.col(text).cast("string").alias("text")
     )
-    members = groups.join(named, groups["node"] == named["key"]).select("key", F.col("label").alias("group"), "id", "mark")
-    found = texts["id"].eqNullSafe(members["id"]) & (texts["mark"] == members["mark"])
-    full = texts.join(members, found).select("key", "group", "text").dropDuplicates(["key"])
-    full = stored(full, "full")
-    extent = full.groupBy("group").agg(F.count(F.lit(1)).alias("m"), F.sum(F.octet_length("text")).alias("bytes"))
+    members = groups.join(named, groups["node"] == named["key"])
+    members = members.select("key", F.col("label").alias("group"), "id", "mark", "bytes")
+    extent = members.groupBy("group").agg(F.count(F.lit(1)).alias("m"), F.sum("bytes").alias("bytes"))
     blocks = F.ceil(F.greatest(F.col("m") / BLOCK, F.col("bytes") / BLOCK_BYTES)).alias("blocks")
-    linked = _confirmed(full.join(extent.select("group", blocks), "group"), size, percent)
-    linked = components(stored(linked, "confirmed"), "a", "b")
+    members = stored(members.drop("bytes").join(extent.select("group", blocks), "group"), "members").filter("blocks > 0")
+    with _filtered_early(documents.sparkSession):
+        found = texts["id"].eqNullSafe(members["id"]) & (texts["mark"] == members["mark"])
+        full = texts.join(members, found).select("key", "group", "blocks", "text").dropDuplicates(["key"])
+        linked = stored(_confirmed(full, size, percent), "confirmed")
+    linked = components(linked, "a", "b")
 
     # classes by component, their documents, and the least id
     ids = sketched.select("id", "n", "key").join(linked, sketched["key"] == linked["node"], "left")
@@ -368,6 +387,21 @@ def near_duplicates(
     ).withColumn("kept", F.col(id_column).eqNullSafe(F.col("component_id")))
 
 
+@contextmanager
+def _filtered_early(spark: SparkSession) -> Iterator[None]:
+    """While it lasts, joins that shuffle a scan send a Bloom filter of the other side's
+    keys to it first, whatever the scan's size. The filter has at most 32 MB; beyond, more
+    rows pass it, and the join decides."""
+    before = {key: spark.conf.get(key) for key in _EARLY}
+    for key, value in _EARLY.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def _block_of() -> tuple[Column, Column]:
     """The number of blocks of a row's node, about half a small node each, and its own."""
     blocks = F.ceil(F.col("size") / (SMALL_NODE / 2)).cast("long")

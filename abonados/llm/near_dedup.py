@@ -43,17 +43,8 @@ MARGIN = 0.14
 BLOCK = 768
 BLOCK_BYTES = 24_000_000
 
-#: Spark's settings for Bloom filters of join keys: texts are filtered by the members of
-#: candidate groups before they are shuffled.
-_EARLY = {
-    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
-    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
-    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1t",
-    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "4000000",
-    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "32000000",
-    "spark.sql.optimizer.runtime.bloomFilter.numBits": "67108864",
-    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "268435456",
-}
+#: Bits of a Bloom filter of join keys: for each key, and at most.
+KEY_BITS, MOST_BITS = 16, 1 << 28
 
 _RNG = np.random.default_rng(20)
 _FACTORS = _RNG.integers(1, 2**63, SLOTS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -370,7 +361,7 @@ def near_duplicates(
     extent = members.groupBy("group").agg(F.count(F.lit(1)).alias("m"), F.sum("bytes").alias("bytes"))
     blocks = F.ceil(F.greatest(F.col("m") / BLOCK, F.col("bytes") / BLOCK_BYTES)).alias("blocks")
     members = stored(members.drop("bytes").join(extent.select("group", blocks), "group"), "members").filter("blocks > 0")
-    with _filtered_early(documents.sparkSession):
+    with _filtered_early(documents.sparkSession, members.count()):
         found = texts["id"].eqNullSafe(members["id"]) & (texts["mark"] == members["mark"])
         full = texts.join(members, found).select("key", "group", "blocks", "text").dropDuplicates(["key"])
         linked = stored(_confirmed(full, size, percent), "confirmed")
@@ -388,12 +379,24 @@ def near_duplicates(
 
 
 @contextmanager
-def _filtered_early(spark: SparkSession) -> Iterator[None]:
-    """While it lasts, joins that shuffle a scan send a Bloom filter of the other side's
-    keys to it first, whatever the scan's size. The filter has at most 32 MB; beyond, more
-    rows pass it, and the join decides."""
-    before = {key: spark.conf.get(key) for key in _EARLY}
-    for key, value in _EARLY.items():
+def _filtered_early(spark: SparkSession, keys: int) -> Iterator[None]:
+    """While it lasts, a join with so many keys sends a Bloom filter of them to the other
+    side's scan before that is shuffled, whatever the sizes. The filter has at most 32 MB;
+    with more keys more rows pass it, and the join decides."""
+    bits = min(max(KEY_BITS * keys, 1 << 13), MOST_BITS)
+    filters = {
+        "enabled": "true",
+        "applicationSideScanSizeThreshold": "0",
+        "creationSideThreshold": "1t",
+        "expectedNumItems": str(max(keys, 1)),
+        "maxNumItems": str(max(keys, 1)),
+        "numBits": str(bits),
+        "maxNumBits": str(MOST_BITS),
+    }
+    wanted = {f"spark.sql.optimizer.runtime.bloomFilter.{name}": value for name, value in filters.items()}
+    wanted["spark.sql.autoBroadcastJoinThreshold"] = "-1"
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
         spark.conf.set(key, value)
     try:
         yield

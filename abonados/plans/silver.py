@@ -68,6 +68,7 @@ def cleaned_customers(
         text("record_uuid").alias("record_uuid"),
         "_loaded_at",
         "_row_id",
+        P.given_customer_id(doc, strict).isNull().alias("_surrogate"),
         *([R.with_reasons(R.customer_reasons(doc))] if rejected else []),
     )
     if rejected:
@@ -100,7 +101,7 @@ def cleaned_customers(
     return (
         cleaned.withColumn("country", C.home_of_city(F.col("country_original"), F.col("city")))
         .withColumn("phone_number", C.clean_phone(F.col("phone"), F.col("country")))
-        .select(*CUSTOMER_COLUMNS, "_row_id")
+        .select(*CUSTOMER_COLUMNS, "_row_id", "_surrogate")
     )
 
 
@@ -109,12 +110,15 @@ def customers(
 ) -> DataFrame:
     """One row per customer: the newest document, if its registration date is valid.
 
-    The newest document is chosen first; an older one does not stand in for it.
+    The newest document is chosen first; an older one does not stand in for it. A customer
+    whose surrogate id another one brings as its own stays besides it, and the check of
+    the key reports the id.
     """
     newest = keep_latest(
         cleaned_customers(bronze, strict, rejected).filter(F.col("customer_id").isNotNull()),
         ["customer_id"],
         _newest_first(),
+        apart="_surrogate",
     )
     return newest.filter(F.col("registration_date").isNotNull()).select(*CUSTOMER_COLUMNS)
 

@@ -30,6 +30,7 @@ class Model:
     ``dated`` is set. Tables that are joined by customer are stored in buckets of
     customers; ``gather`` says that the result is not partitioned that way yet.
     Models that ``convert`` raw values raise under ``strict`` where others give NULL.
+    ``sliced`` ones can lose rows without being written whole (``cascade``).
     """
 
     name: str
@@ -42,6 +43,7 @@ class Model:
     bucket_by: str | None = None
     gather: bool = False
     converts: bool = False
+    sliced: bool = False
 
     def apply(
         self, tables: Tables, as_of: Column | None = None, strict: bool = False, rejected: Observation | None = None
@@ -62,7 +64,7 @@ MODELS: dict[str, Model] = {
     model.name: model
     for model in (
         Model(K.CUSTOMERS, "silver", silver.customers, (K.BRONZE,), ("silver", "customers"), bucket_by="customer_id", converts=True),
-        Model(K.PAYMENTS, "silver", silver.payments, (K.BRONZE,), ("silver", "payments"), bucket_by="customer_id", converts=True),
+        Model(K.PAYMENTS, "silver", silver.payments, (K.BRONZE,), ("silver", "payments"), bucket_by="customer_id", converts=True, sliced=True),
         Model(
             K.DIM_SERVICES, "silver", lambda raw: silver.dim_services(raw.sparkSession), (K.BRONZE,),
             ("silver", "services", "dimension"),
@@ -142,7 +144,7 @@ def build(
         else:
             tables[model.name] = store.write(
                 model.layer, model.name, result, model.bucket_by, model.gather,
-                Q.conditions(checks or [], model.name),
+                Q.conditions(checks or [], model.name), model.sliced,
             )
             if rejected:
                 lost.setdefault(model.layer, []).extend(R.counted(model.name, rejected.get))
@@ -157,6 +159,12 @@ def quarantine(store: LayerStore) -> DataFrame:
     return store.write("silver", REJECTED_ROWS, R.quarantine(store.read("bronze", K.BRONZE)))
 
 
+def cascade(store: LayerStore) -> int:
+    """Deletes stored payments whose customer is not stored. Not part of ``run``, which
+    only reports them. Returns how many."""
+    return store.delete_orphans("silver", K.PAYMENTS, K.CUSTOMERS, "customer_id")
+
+
 def run_layer(
     store: LayerStore, layer: str, as_of: Column | None = None, gate: bool = True, strict: bool = False
 ) -> DataFrame:

@@ -25,6 +25,9 @@ LAYOUT = "abonados.layout"
 HOT_KEYS = 16
 #: A bucket is uneven if its hottest key alone has more than so many buckets' share.
 UNEVEN = 2.0
+#: Folder column of sliced tables, and the most slices: each holds whole buckets.
+SLICE = "_slice"
+MOST_SLICES = 256
 
 
 def buckets_for(stored_bytes: int) -> int:
@@ -32,6 +35,17 @@ def buckets_for(stored_bytes: int) -> int:
     return min(max(math.ceil(stored_bytes / BUCKET_BYTES), LEAST_BUCKETS), MOST_BUCKETS)
 
 
+def slice_of(key: str, buckets: int) -> Column:
+    """The slice of a key's bucket (Spark's bucket is this hash by the number of buckets)."""
+    return F.pmod(F.pmod(F.hash(F.col(key)), F.lit(buckets)), F.lit(MOST_SLICES))
+
+
+def folder_of(load: str) -> str:
+    """The folder that holds a load's files: a revision ``table__base_mark`` shares that of
+    its base, ``table__base``."""
+    return re.sub(r"(__[0-9a-f]{32})_[0-9a-f]+$", r"\1", load)
+
+
 @dataclass(frozen=True)
 class Layout:
     """How a load was laid out: ``hottest`` is about how many rows the key with most rows
@@ -139,8 +153,9 @@ class LayerStore:
         """Points the view of each table at its load in the current version."""
         for table, load in self.versions(layer).current().items():
             if self.spark.catalog.tableExists(self.name(layer, load)) and self._pointed_at(layer, table) != load:
+                shown = ", ".join(f"`{c}`" for c in self._columns_of(self.spark.table(self.name(layer, load))))
                 self.spark.sql(
-                    f"CREATE OR REPLACE VIEW {self.name(layer, table)} AS SELECT * FROM {self.name(layer, load)}"
+                    f"CREATE OR REPLACE VIEW {self.name(layer, table)} AS SELECT {shown} FROM {self.name(layer, load)}"
                 )
 
     def create_view(self, layer: str, name: str, text: str) -> None:
@@ -168,9 +183,12 @@ class LayerStore:
 
     def read(self, layer: str, table: str, version: int | None = None) -> DataFrame:
         """A table as the current version has it, or an earlier one that is still kept."""
-        if version is not None:
-            return self.spark.table(self.name(layer, self.versions(layer).loads(version)[table]))
-        return self.spark.table(self.name(layer, self._load(layer, table) or table))
+        load = self._load(layer, table) if version is None else self.versions(layer).loads(version)[table]
+        return self.spark.table(self.name(layer, load or table)).drop(SLICE)
+
+    @staticmethod
+    def _columns_of(df: DataFrame) -> list[str]:
+        return [c for c in df.columns if c != SLICE]
 
     def _load(self, layer: str, table: str) -> str | None:
         if layer in self._open and table in self._open[layer].loads:
@@ -186,6 +204,7 @@ class LayerStore:
         bucket_by: str | None = None,
         gather: bool = False,
         counted: dict[str, Column] | None = None,
+        sliced: bool = False,
     ) -> DataFrame:
         """Full refresh. With buckets, later joins on the column need no shuffle.
 
@@ -195,6 +214,9 @@ class LayerStore:
 
         ``counted`` names conditions; how many rows fulfil each is observed while they are
         written, and ``counts`` tells it.
+
+        ``sliced`` puts buckets into a folder each, or into at most ``MOST_SLICES`` of
+        them, so that rows can be deleted later by writing only the slices they are in.
         """
         self.spark.sql(
             f"CREATE DATABASE IF NOT EXISTS {self.database(layer)} LOCATION '{self.root}/{layer}'"
@@ -208,18 +230,66 @@ class LayerStore:
         buckets = self.bucket_count() if bucket_by else None
         if buckets and gather:
             df = df.repartition(buckets, bucket_by)
-        writer = df.write.format("parquet").option("path", f"{self.root}/{layer}/{load}")
+        self._save(layer, load, df, load, bucket_by, buckets, sliced)
+        if counted:
+            self._counts[layer, table] = observed.get
+        with self.publishing(layer) as block:
+            block.loads[table] = load
+        return self.read(layer, table)
+
+    def _save(
+        self, layer: str, load: str, df: DataFrame, folder: str, bucket_by: str | None, buckets: int | None, sliced: bool
+    ) -> None:
+        """Writes a frame as the catalog table of a load, its files below a folder of the layer."""
+        if buckets and sliced:
+            df = df.withColumn(SLICE, slice_of(bucket_by, buckets))
+        writer = df.write.format("parquet").option("path", f"{self.root}/{layer}/{folder}")
         if buckets:
             writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
+            writer = writer.partitionBy(SLICE) if sliced else writer
         with _shuffled_into(self.spark, buckets):
             writer.saveAsTable(self.name(layer, load))
-        if counted:
-            self._counts[layer, table] = observed.get
         if buckets:
             self._keep_layout(layer, load, bucket_by, buckets)
+
+    def delete_orphans(self, layer: str, table: str, parent: str, column: str) -> int:
+        """Deletes the rows of a sliced table whose key no row of ``parent`` has, as a
+        cascading foreign key would; null keys stay. Returns how many rows went.
+
+        One scan finds the slices that hold orphans, without a shuffle where both tables
+        share buckets. Only these are written anew, beside the old ones; the new revision
+        takes all other slices from where they are. It becomes current like any load, and
+        earlier versions stay readable. Without orphans nothing is written.
+        """
+        base = self.current_load(layer, table)
+        layout = self.layout(layer, table)
+        children = self.spark.table(self.name(layer, base))
+        if layout is None or SLICE not in children.columns:
+            raise ValueError(f"{self.name(layer, table)} is not stored in slices")
+        known = self.read(layer, parent).select(F.col(column)).filter(F.col(column).isNotNull())
+        folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("folder")
+        marked = children.select(column, SLICE, folder).join(
+            known.withColumn("known", F.lit(True)), column, "left"
+        )
+        orphan = F.col("known").isNull() & F.col(column).isNotNull()
+        # a row per slice
+        slices = marked.groupBy(SLICE, "folder").agg(F.count_if(orphan).alias("orphans")).collect()
+        touched = [r[SLICE] for r in slices if r["orphans"]]
+        if not touched:
+            return 0
+        held = children.filter(F.col(SLICE).isin(touched))
+        rest = held.join(known, column, "left_semi").unionByName(held.filter(F.col(column).isNull()))
+        mark = uuid.uuid4().hex
+        load = f"{folder_of(base)}_{mark}"
+        rest = rest.select(*self._columns_of(children)).repartition(layout.buckets, layout.key)
+        self._save(layer, load, rest, f"{folder_of(base)}/_revision_{mark}", layout.key, layout.buckets, True)
+        places = [f"PARTITION ({SLICE} = {r[SLICE]}) LOCATION '{r['folder']}'" for r in slices if not r["orphans"]]
+        if places:
+            self.spark.sql(f"ALTER TABLE {self.name(layer, load)} ADD {' '.join(places)}")
+            self._keep_layout(layer, load, layout.key, layout.buckets)
         with self.publishing(layer) as block:
             block.loads[table] = load
-        return self.read(layer, table)
+        return sum(r["orphans"] for r in slices)
 
     def bucket_count(self) -> int | None:
         """Buckets of tables that are written now; None for none."""
@@ -239,11 +309,12 @@ class LayerStore:
             return None
         described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(layer, table)}")
         text = described.filter("col_name = 'View Text'").first()["data_type"]
-        return re.search(rf"{re.escape(table)}__[0-9a-f]+", text).group()
+        return re.search(rf"{re.escape(table)}__[0-9a-f_]+", text).group()
 
     def stored_bytes(self, layer: str, table: str) -> int:
-        """Bytes of the current load's files, as the file system sums them up."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{layer}/{self.current_load(layer, table)}")
+        """Bytes of the files in the current load's folder, as the file system sums them up."""
+        folder = folder_of(self.current_load(layer, table))
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{layer}/{folder}")
         files = path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
         return files.getContentSummary(path).getLength()
 
@@ -278,13 +349,14 @@ class LayerStore:
         return [t.name for t in tables if t.name.startswith(f"{table}__") and t.tableType != "VIEW"]
 
     def drop_replaced(self, layer: str, table: str) -> list[str]:
-        """Takes earlier loads out of the catalog; their folders are returned for removal."""
-        current, gone = self.current_load(layer, table), []
+        """Takes earlier loads out of the catalog; their folders are returned for removal,
+        but for the one that the current load shares."""
+        current, gone = self.current_load(layer, table), set()
         for load in self.loads(layer, table):
             if load != current:
                 self.spark.sql(f"DROP TABLE {self.name(layer, load)}")
-                gone.append(f"{self.root}/{layer}/{load}")
-        return gone
+                gone.add(folder_of(load))
+        return [f"{self.root}/{layer}/{folder}" for folder in sorted(gone - {folder_of(current)})]
 
     def remove_replaced(self, layer: str, keep: int = 1, older_than: float = 86_400.0) -> list[str]:
         """Removes loads that none of the ``keep`` newest versions names from the catalog
@@ -295,10 +367,12 @@ class LayerStore:
         """
         versions = self.versions(layer)
         self.follow_version(layer)
-        loads, numbers = versions.garbage(max(keep, 1), older_than)
+        loads, numbers = versions.garbage(max(keep, 1), older_than, folder_of)
         if layer in self._open:
-            loads = [load for load in loads if load not in self._open[layer].loads.values()]
-        for load in loads:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, load)}")
+            writing = {folder_of(load) for load in self._open[layer].loads.values()}
+            loads = [load for load in loads if load not in writing]
+        for stored in self.spark.catalog.listTables(self.database(layer)) if loads else ():
+            if stored.tableType != "VIEW" and folder_of(stored.name) in loads:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, stored.name)}")
         versions.remove(loads, numbers)
         return loads

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import time
+from collections.abc import Callable
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
@@ -77,15 +78,17 @@ class Versions:
             out.close()
             return number
 
-    def garbage(self, keep: int, older_than: float) -> tuple[list[str], list[int]]:
-        """Versions before the ``keep`` newest whole ones, and folders of loads that no other
-        version names. What changed in the last ``older_than`` seconds stays: it may still
+    def garbage(
+        self, keep: int, older_than: float, folder_of: Callable[[str], str] = str
+    ) -> tuple[list[str], list[int]]:
+        """Versions before the ``keep`` newest whole ones, and folders of loads (``folder_of``
+        tells a load's) that no other version names. What changed in the last ``older_than`` seconds stays: it may still
         be written, or read by a query that began before."""
         before = (time.time() - older_than) * 1000
         changed = self._names(FOLDER)
         whole = {n: loads for n in self.numbers() if (loads := self.loads(n)) is not None}
         gone = [n for n in list(whole)[:-keep] if changed[f"{n:010d}.json"] <= before]
-        held = {load for n, loads in whole.items() if n not in gone for load in loads.values()}
+        held = {folder_of(load) for n, loads in whole.items() if n not in gone for load in loads.values()}
         loads = [name for name, at in self._names().items() if "__" in name and name not in held and at <= before]
         return loads, gone
 

@@ -270,6 +270,23 @@ add("q7_rows_are_violations", _event_rows,
 query("q8_drop_orphans", K.PAYMENTS, K.CUSTOMERS, oracle=O.with_parts(
     "SELECT payment_id FROM pay WHERE customer_id IN (SELECT customer_id FROM cust)", "pay", "cust"),
 )(lambda p, c: quality.drop_orphans(p, c, "customer_id").select("payment_id"))
+
+
+def _cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored payments after suspended customers and, by cascade, their payments are deleted."""
+    store = scratch_store(spark)
+    store.buckets = layer_store(spark, sf_dir).bucket_count()
+    given = tables(spark, sf_dir, K.CUSTOMERS, K.PAYMENTS)
+    for name, frame in given.items():
+        frame = frame.filter("customer_status <> 'SUSPENDED'") if name == K.CUSTOMERS else frame
+        store.write("silver", name, frame, "customer_id", gather=True, sliced=name == K.PAYMENTS)
+    job.cascade(store)
+    return comparable(store.read("silver", K.PAYMENTS).select("payment_id", "customer_id", "payment_date", "payment_amount"))
+
+
+add("q8_cascade", _cascade, O.with_parts(f"""
+    SELECT payment_id, customer_id, {O.text_of('payment_date')} AS payment_date, CAST(payment_amount AS DOUBLE) AS payment_amount FROM pay
+    WHERE customer_id IN (SELECT customer_id FROM cust WHERE customer_status <> 'SUSPENDED')""", "pay", "cust"))
 query("q9_customers_without_active_service", K.SERVICES, oracle=O.with_parts(_INTEGRITY, "svc"),
       )(lambda s: K.ServicesIntegrity().violations({K.SERVICES: s}).select("customer_id"))
 query("q9_unlisted_services", K.BRONZE, K.DIM_SERVICES, oracle=O.with_parts(_UNLISTED, "svc"),

@@ -44,7 +44,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if not store.exists(model.layer, name):
         inputs = {needed: table(spark, sf_dir, needed) for needed in model.inputs}
         result = model.apply(inputs, F.lit(AS_OF))
-        store.write(model.layer, name, result, model.bucket_by, model.gather)
+        store.write(model.layer, name, result, model.bucket_by, model.gather, sliced=model.sliced)
     return store.read(model.layer, name)
 
 

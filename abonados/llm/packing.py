@@ -2,7 +2,9 @@
 
 A piece goes where the sum of the squared numbers of open sequences per residual gap
 becomes smallest. The rule looks at all open sequences, so it works on shards of a fixed
-number of pieces; a shard is large enough that its last open sequences do not count.
+number of pieces; a shard is large enough that its last open sequences do not count. The
+rule keeps gaps even for pieces to come; when none come, what stands in sequences left
+open is placed once more, each piece where the least gap remains.
 """
 
 from __future__ import annotations
@@ -107,11 +109,39 @@ def sum_of_squares(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarr
     return sequences, offsets
 
 
+def refit(lengths: np.ndarray, sequences: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """A placement of pieces in descending order with the pieces of sequences that are not
+    full placed again by best fit, where that takes fewer sequences."""
+    if not len(lengths):
+        return sequences, offsets
+    filled = np.bincount(sequences, weights=lengths)
+    moved = np.flatnonzero(filled[sequences] < size)
+    stacks: list[list[int]] = [[] for _ in range(size + 1)]
+    is_open = np.zeros(size + 1, bool)
+    places, starts, used = np.empty(len(moved), np.int64), np.empty(len(moved), np.int64), 0
+    for i, s in enumerate(lengths[moved].tolist()):
+        gap = s + int(np.argmax(is_open[s:]))
+        if is_open[gap]:
+            sequence = stacks[gap].pop()
+            is_open[gap] = bool(stacks[gap])
+        else:
+            gap, sequence, used = size, used, used + 1
+        if gap > s:
+            stacks[gap - s].append(sequence)
+            is_open[gap - s] = True
+        places[i], starts[i] = sequence, size - gap
+    if used >= np.count_nonzero(filled < size):
+        return sequences, offsets
+    sequences, offsets = sequences.copy(), offsets.copy()
+    sequences[moved], offsets[moved] = places + len(filled), starts
+    return sequences, offsets
+
+
 def pack(pieces: DataFrame, size: int = 2048, shard: int = SHARD) -> DataFrame:
     """``pieces`` (with ``length``) and their ``sequence_id`` and ``offset``.
 
     Pieces that fill a sequence have one of their own. The others are dealt evenly to
-    shards, and each shard is packed longest first. Columns of these two names are
+    shards, and each shard is packed longest first, then ``refit``. Columns of these two names are
     replaced. No pieces give no sequences; rows of null or impossible length raise.
     """
     ready(pieces.sparkSession)
@@ -131,7 +161,8 @@ def pack(pieces: DataFrame, size: int = 2048, shard: int = SHARD) -> DataFrame:
         if not got:
             return
         rows = pa.Table.from_batches(got).sort_by([("length", "descending"), ("_row", "ascending")])
-        sequences, offsets = sum_of_squares(rows.column("length").to_numpy(), size)
+        lengths = rows.column("length").to_numpy()
+        sequences, offsets = refit(lengths, *sum_of_squares(lengths, size), size)
         # a sequence is named by a row that stands in it at the start
         first = np.empty(int(sequences.max()) + 1, np.int64)
         begins = offsets == 0

@@ -35,7 +35,7 @@ def train(
     sample_characters: int = SAMPLE_CHARACTERS,
 ) -> dict[str, bytes]:
     """A raw-content dictionary for each language: passages from a bounded sample of
-    labelled documents, the documents with the least hashes of their texts.
+    labelled documents, the distinct texts with the least hashes. Copies count once.
 
     Rows with a null language, or a text without letters, are not learned from. The
     model holds at most ``sample_documents`` x ``sample_characters`` characters for each
@@ -49,8 +49,11 @@ def train(
         order.alias("order"),
         F.substring(F.col(text), begin.cast("int") + 1, F.lit(sample_characters)).alias("passage"),
     )
-    first = Window.partitionBy("lang").orderBy("order", "passage")
-    chosen = passages.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= sample_documents)
+    # narrow rows first: copies meet in the map tasks, and only chosen texts travel
+    first = Window.partitionBy("lang").orderBy("order")
+    least = passages.select("lang", "order").distinct().withColumn("rank", F.row_number().over(first))
+    least = F.broadcast(least.filter(F.col("rank") <= sample_documents))  # so many rows for each language
+    chosen = passages.join(least, ["lang", "order"]).groupBy("lang", "rank").agg(F.min("passage").alias("passage"))
     model: dict[str, list[str]] = {}
     for row in chosen.orderBy("lang", "rank").collect():
         model.setdefault(row["lang"], []).append(row["passage"])

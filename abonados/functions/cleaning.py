@@ -98,17 +98,22 @@ def city_from_key(key: Column, plain: Column) -> Column:
 
 
 def clean_city(city: Column) -> Column:
-    """Canonical city without accents; unlisted names in title case."""
-    plain = plain_city(city)
-    return city_from_key(F.lower(plain), plain)
+    """Canonical city without accents; unlisted names in title case.
+
+    The rules name their key many times, and a city may be the outcome of all rules
+    itself, so text and key are computed first and the rules read what they are.
+    """
+    keyed = F.array(F.struct(plain_city(city).alias("plain")))
+    keyed = F.transform(keyed, lambda c: F.struct(F.lower(c["plain"]).alias("key"), c["plain"].alias("plain")))
+    return F.element_at(F.transform(keyed, lambda c: city_from_key(c["key"], c["plain"])), 1)
 
 
 def home_of_city(country: Column, clean_city: Column) -> Column:
     """As ``country_of_city``, for a city that is already cleaned."""
-    chain = F.when(country.isNull(), F.lit(None).cast("string"))
-    for home, rules in V.CITIES.items():
-        chain = chain.when(clean_city.isin(*[rule.value for rule in rules]), home)
-    return chain.otherwise(country)
+    homes = {rule.value: home for home, rules in V.CITIES.items() for rule in rules}
+    pairs = ", ".join(f"'{city}', '{home}'" for city, home in homes.items())
+    home = F.try_element_at(F.expr(f"map({pairs})"), clean_city)
+    return F.when(country.isNotNull(), F.coalesce(home, country))
 
 
 def country_of_city(country: Column, city: Column) -> Column:

@@ -181,3 +181,13 @@ def test_arpu(spark):
     assert outcomes(spark, M.arpu_estimated, cases, "r decimal(28,6), p long, b decimal(18,6)") == [Decimal("2.5"), Decimal(3), Decimal(3), None, None]
     cases = [(Decimal(10), 4), (Decimal(10), 0), (Decimal(10), -3), (None, 4)]
     assert outcomes(spark, M.arpu_real, cases, "r decimal(28,6), m int") == [2.5, None, None, None]
+
+
+def test_cleaning_a_clean_city_again_does_not_multiply_the_rules(spark):
+    """Rules read the outcome of the cleaning within, they do not repeat it."""
+    frame = spark.createDataFrame([("arg", "Coroba"), (None, "mty"), ("x", None)], "country string, city string")
+    home = C.country_of_city(C.clean_country(F.col("country")), C.clean_city(F.col("city")))
+    found = frame.select(home.alias("home"))
+    optimized = found._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count("translate(") <= 2
+    assert [r.home for r in found.collect()] == ["Argentina", "México", "Desconocido"]

@@ -22,14 +22,14 @@ def read_lines(spark: SparkSession, path, mode: str = "FAILFAST") -> DataFrame:
     )
 
 
-def _structure(chunk: Column, inside: bool) -> Column:
-    """The text without strings, read from outside or inside of a string. Escaped
-    characters are gone already, so every quote opens or closes."""
-    return F.regexp_replace(F.concat(F.lit('"'), chunk) if inside else chunk, '"[^"]*("|$)', "")
+def _occurrences(text: Column, letter: str) -> Column:
+    """How often an ASCII character occurs."""
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(letter), F.lit("")))
 
 
-def _occurrences(text: Column, *letters: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, "".join(letters), ""))
+def _opened(text: Column) -> Column:
+    """Opened less closed, but for closing braces: chunks hold none."""
+    return _occurrences(text, "{") + _occurrences(text, "[") - _occurrences(text, "]")
 
 
 def _chunks(spark: SparkSession, path) -> DataFrame:
@@ -44,14 +44,23 @@ def _chunks(spark: SparkSession, path) -> DataFrame:
         F.monotonically_increasing_id().alias("at"),
         F.col("value").alias("chunk"),
     )
-    plain = F.regexp_replace("chunk", r"(?s)\\.", "")
-    cut = cut.withColumn("plain", plain).withColumn("quotes", _occurrences(F.col("plain"), '"'))
+    escaped = F.col("chunk").contains("\\")
+    plain = F.when(escaped, F.regexp_replace("chunk", r"(?s)\\.", "")).otherwise(F.col("chunk"))
+    # Each step is a column, computed once. Escaped characters are gone from the plain text,
+    # so every quote opens or closes, and what is outside of strings if the chunk begins
+    # outside is inside if it begins inside.
+    cut = cut.withColumn("plain", plain).withColumn("bare", F.regexp_replace("plain", '"[^"]*+"?', ""))
+    counted = cut.select(
+        "file", "block", "at", "chunk",
+        _occurrences(F.col("plain"), '"').alias("quotes"),
+        _opened(F.col("plain")).alias("all"),
+        _opened(F.col("bare")).alias("outside"),
+    )
     deeper = []
-    for inside in (0, 1):
-        bare = _structure(F.col("plain"), bool(inside))
+    for inside, opened in ((0, F.col("outside")), (1, F.col("all") - F.col("outside"))):
         closes = F.when((F.col("quotes") + inside) % 2 == 0, 1).otherwise(0)
-        deeper.append((_occurrences(bare, "{", "[") - _occurrences(bare, "]") - closes).alias(f"deeper{inside}"))
-    return cut.select("file", "block", "at", "chunk", "quotes", *deeper)
+        deeper.append((opened - closes).alias(f"deeper{inside}"))
+    return counted.select("file", "block", "at", "chunk", "quotes", *deeper)
 
 
 def _with_ends(chunks: DataFrame) -> DataFrame:
@@ -121,7 +130,8 @@ def read_arrays(spark: SparkSession, path, mode: str = "FAILFAST") -> DataFrame:
     modes = ("FAILFAST", "DROPMALFORMED", "PERMISSIVE")
     if mode not in modes:
         raise ValueError(f"mode is one of {modes}")
-    elements = _elements(_with_ends(_chunks(spark, path)))
+    # Texts are put in order before they are parsed: a sort runs what is below it twice.
+    elements = _elements(_with_ends(_chunks(spark, path))).orderBy("file", "number")
     opened, closed = r"^\s*(\[)", r"\]\s*$"
     body = F.regexp_replace("text", F.when(F.col("number") == 0, opened).otherwise(r"^\s*(,)"), "")
     body = F.when(F.col("final"), F.regexp_replace(body, F.lit(closed), "")).otherwise(body)
@@ -134,13 +144,14 @@ def read_arrays(spark: SparkSession, path, mode: str = "FAILFAST") -> DataFrame:
         parsed = F.parse_json(F.when(whole, listed).otherwise(broken.cast("string")))
     else:
         parsed = F.try_parse_json(F.when(whole, listed))
-    rows = elements.select("file", "number", F.variant_get(parsed, "$", "array<variant>").alias("found"))
-    found = F.posexplode_outer if mode == "PERMISSIVE" else F.posexplode
+    found = F.variant_get(parsed, "$", "array<variant>")
     if mode == "PERMISSIVE":
+        rows = elements.select(found.alias("found"))
         # what follows the last element is empty as a rule, which is no malformed element
         rows = rows.filter(F.col("found").isNull() | (F.size("found") > 0))
-    rows = rows.select("file", "number", found("found").alias("place", DOCUMENT))
-    return rows.orderBy("file", "number", "place").select(DOCUMENT)
+        return rows.select(F.explode_outer("found").alias(DOCUMENT))
+    # not by a column: Spark would filter empty ones below the sort, and parse there too
+    return elements.select(F.explode(found).alias(DOCUMENT))
 
 
 def as_bronze(documents: DataFrame, loaded_at: Column | None = None) -> DataFrame:

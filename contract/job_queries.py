@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from abonados.functions import documents as D
@@ -17,7 +17,8 @@ from contract.store import layer_store, scratch_store, table, tables
 
 AS_OF = docs.AS_OF
 ALL_STORED = (K.BRONZE, K.CUSTOMERS, K.PAYMENTS, K.SERVICES, K.DIM_SERVICES, K.ANALYTICS)
-DOCUMENTS_PER_ARRAY_FILE = 1_000
+#: Files are not small: each costs its creation, whatever it holds.
+DOCUMENTS_PER_ARRAY_FILE = 20_000
 
 
 def _write_lines(raw: DataFrame, path: str) -> None:
@@ -27,17 +28,17 @@ def _write_lines(raw: DataFrame, path: str) -> None:
 
 
 def _write_arrays(raw: DataFrame, path: str) -> None:
-    """The documents in files of one JSON array each.
+    """The documents in files of one JSON array each, a line for each document.
 
-    Row numbers are unique, so an array holds no more documents than its block.
+    Row numbers are unique, so an array holds no more documents than its block. Lines are
+    written one by one, no array is held in memory.
     """
-    block = F.expr(f"_row_id DIV {DOCUMENTS_PER_ARRAY_FILE}")
-    arrays = (
-        raw.select(block.alias("block"), F.to_json("data").alias("document"))
-        .groupBy("block")
-        .agg(F.concat(F.lit("["), F.array_join(F.collect_list("document"), ","), F.lit("]")).alias("value"))
-    )
-    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    rows = raw.select(F.expr(f"_row_id DIV {DOCUMENTS_PER_ARRAY_FILE}").alias("block"), "_row_id", F.to_json("data").alias("document"))
+    within = Window.partitionBy("block").orderBy("_row_id")
+    begin = F.when(F.lag("_row_id").over(within).isNull(), "[").otherwise(",")
+    end = F.when(F.lead("_row_id").over(within).isNull(), "]").otherwise("")
+    lines = rows.select("block", F.concat(begin, "document", end).alias("value"))
+    lines.write.partitionBy("block").text(path)
 
 
 def _read_back(write, read):

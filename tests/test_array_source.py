@@ -83,3 +83,13 @@ def test_array_beyond_one_variant(spark, tmp_path):
     lines = bronze.read_lines(spark, str(tmp_path / "lines"))
     sums = [d.agg(F.count("*"), F.sum(F.xxhash64(F.to_json("data")).cast("decimal(38,0)"))).first() for d in (found, lines)]
     assert sums[0] == sums[1]
+
+
+def test_elements_are_parsed_once_after_the_sort(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"a": 1}, {"b": "}"}]')
+    found = bronze.read_arrays(spark, str(tmp_path))
+    # a tree's upper lines run later; a sort runs what is below it twice
+    optimized = found._jdf.queryExecution().optimizedPlan().toString()
+    above, below = optimized.split("Sort [file", 1)
+    assert "parseJson" in above and "parseJson" not in below
+    assert [json.loads(r[0]) for r in found.select(F.to_json("data")).collect()] == [{"a": 1}, {"b": "}"}]

@@ -152,9 +152,10 @@ def shingles(words: np.ndarray, size: int) -> np.ndarray:
     return np.unique(value)
 
 
-def components(edges: DataFrame, a: str, b: str) -> DataFrame:
+def components(edges: DataFrame, a: str, b: str, rounds: int | None = None) -> DataFrame:
     """Connected components: each value of either column with the least value of its
-    component, as (``node``, ``label``).
+    component, as (``node``, ``label``); after so many ``rounds`` with the least that is
+    known by then, which need not be the same for a whole component.
 
     Every round takes the least label among neighbours and then the label of the label,
     so chains shorten by halves. Labels are aggregated in the map tasks before they
@@ -164,6 +165,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     both = stored(both.union(both.select("y", "x")).distinct(), "edges")
     labels = both.groupBy(F.col("x").alias("node")).agg(F.min("y").alias("m"))
     labels = stored(labels.select("node", F.least("node", "m").alias("label")), "labels")
+    if rounds == 0:
+        return labels
     while True:
         near = (
             both.join(labels.select(F.col("node").alias("y"), "label"), "y")
@@ -176,5 +179,6 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         step = stored(step, "labels")
         changed = step.filter(F.col("next") != F.col("label")).limit(1).count()
         labels = step.select("node", F.col("next").alias("label"))
-        if not changed:
+        rounds = None if rounds is None else rounds - 1
+        if not changed or rounds == 0:
             return labels

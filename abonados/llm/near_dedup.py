@@ -1,10 +1,12 @@
-"""Near-duplicates by a chosen-path similarity join on minwise tokens.
+"""Near-duplicates by a similarity join on minwise tokens, in bands and chosen paths.
 
 Every document has a set of word shingles and, of that, one minwise token for each of
-``SLOTS`` permutations. A tree branches on tokens: a document enters the children of the
-tokens that a random choice picks, about 1/threshold of its tokens, so documents that
+``SLOTS`` permutations. A tree begins with a band: documents that agree in all tokens of a
+few slots enter the same node. Below, it branches on tokens: a document enters the children
+of the tokens that a random choice picks, about 1/threshold of its tokens, so documents that
 share many tokens meet in some child. Nodes that are small are compared exhaustively;
-larger ones branch again, and what is still large at the last level is compared in blocks.
+larger ones are compared in blocks and, where these leave groups apart, in all pairs of
+blocks; if these would be too many rows, the nodes branch again before.
 Independent trees repeat this. Documents that look alike in some node are confirmed on
 their full sets, and confirmed links make components.
 
@@ -26,16 +28,21 @@ from abonados.llm.common import components, hashed_words, mixed, ready, shingles
 
 #: Minwise tokens of a document.
 SLOTS = 128
-#: Independent trees. Two documents at the threshold share a node of one tree's first
-#: level in 63 of 100 cases, so 12 trees miss 7 of a million; four levels down, 12 trees
-#: miss fewer the more alike two documents are.
-TREES = 12
+#: Trees that are grown at most, and slots of a band at most. One token of 16 bits would
+#: bring together ever more documents that differ as a corpus grows; three do not.
+MOST_TREES, MOST_SLOTS = 24, 3
+#: The share of pairs at the threshold that the first levels of all trees may miss; deeper
+#: down, trees miss fewer the more alike two documents are.
+MISSED = 7e-6
 #: Nodes up to this size are compared exhaustively; twice it is the size of a block pair.
 SMALL_NODE = 512
 LEVELS = 3
-#: Trees that are grown first. What they hold together is one group from then on: the
-#: other trees only look for links between different groups.
-FIRST_TREES = 1
+#: The first band is looked at before all others. What it holds together is one group from
+#: then on: trees only look for links between different groups. Groups are named anew, in so
+#: many rounds, before a large node branches.
+ROUNDS = 1
+#: Rows of pairs of blocks, for each class, up to which a large node does not branch.
+PAIR_ROWS = 8
 #: Documents look alike if their tokens agree in the threshold less this share: four
 #: standard deviations of the estimate from ``SLOTS`` tokens.
 MARGIN = 0.14
@@ -59,6 +66,16 @@ def minwise(shingle_set: np.ndarray) -> np.ndarray:
     return (mixed(least) >> np.uint64(48)).astype(np.uint16)
 
 
+def _bands(threshold: float) -> np.ndarray:
+    """The slots of each tree's band: so many to a band, ``MOST_SLOTS`` or fewer, that
+    ``MOST_TREES`` bands find enough of the pairs at the threshold, or one."""
+    for slots in range(MOST_SLOTS, 0, -1):
+        trees = int(np.ceil(np.log(MISSED) / np.log1p(-min(threshold, 0.999) ** slots)))
+        if trees <= MOST_TREES or slots == 1:
+            break
+    return np.random.default_rng(21).permutation(SLOTS)[: min(trees, SLOTS // slots) * slots].reshape(-1, slots)
+
+
 def _chosen(tokens: np.ndarray, nodes: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """For documents (rows of ``tokens``) in nodes, the children: row numbers and nodes."""
     slots = np.arange(SLOTS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -70,7 +87,7 @@ def _chosen(tokens: np.ndarray, nodes: np.ndarray, threshold: float) -> tuple[np
 
 def _sketched(documents: DataFrame, size: int, id_column: str, text: str) -> DataFrame:
     """``id``, ``mark`` and ``bytes`` of the text, ``n`` (size of the set), ``key`` (of the set; null
-    for none), ``tokens``, and the low byte of each of them in ``bits``."""
+    for none) and ``tokens``: the low bytes of all of them (``_low``), then the high ones."""
     rows = documents.select(
         F.col(id_column).alias("id"),
         F.xxhash64(F.col(text)).alias("mark"),
@@ -82,7 +99,7 @@ def _sketched(documents: DataFrame, size: int, id_column: str, text: str) -> Dat
         for batch in batches:
             for start, end, data, ends in text_chunks(batch.column(2)):
                 words, upto = hashed_words(data, ends)
-                counts, keys, tokens, bits, begin = [], [], [], [], 0
+                counts, keys, tokens, begin = [], [], [], 0
                 for stop in upto.tolist():
                     found = shingles(words[begin:stop], size)
                     begin = stop
@@ -90,13 +107,10 @@ def _sketched(documents: DataFrame, size: int, id_column: str, text: str) -> Dat
                     if len(found):
                         low = np.bitwise_xor.reduce(mixed(found))
                         keys.append(np.array([low, mixed(found + low).sum()], np.uint64).tobytes())
-                        least = minwise(found)
-                        tokens.append(least.tobytes())
-                        bits.append(least.astype(np.uint8).tobytes())
+                        tokens.append(minwise(found).astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes())
                     else:
                         keys.append(None)
                         tokens.append(None)
-                        bits.append(None)
                 yield pa.RecordBatch.from_pydict(
                     {
                         "id": batch.column(0)[start:end],
@@ -105,30 +119,35 @@ def _sketched(documents: DataFrame, size: int, id_column: str, text: str) -> Dat
                         "n": pa.array(counts, pa.int64()),
                         "key": pa.array(keys, pa.binary()),
                         "tokens": pa.array(tokens, pa.binary()),
-                        "bits": pa.array(bits, pa.binary()),
                     }
                 )
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(sketch, f"id {kind}, mark long, bytes long, n long, key binary, tokens binary, bits binary")
+    return rows.mapInArrow(sketch, f"id {kind}, mark long, bytes long, n long, key binary, tokens binary")
+
+
+def _signatures(column: pa.Array) -> np.ndarray:
+    parts = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, 2, SLOTS).astype(np.uint16)
+    return parts[:, 0] | parts[:, 1] << 8
 
 
-def _signatures(column: pa.Array, kind: type = np.uint16) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, SLOTS)
+def _low(tokens: str = "tokens") -> Column:
+    return F.substring(tokens, 1, SLOTS)
 
 
-def _roots(classes: DataFrame, trees: range, threshold: float) -> DataFrame:
+def _roots(classes: DataFrame, bands: np.ndarray) -> DataFrame:
     """The first level of the trees: (``node``, ``key``, ``known``)."""
 
     def branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            tokens = _signatures(batch.column(2))
-            for tree in trees:
-                rows, nodes = _chosen(tokens, np.full(len(tokens), mixed(np.array([tree + 1], np.uint64))[0]), threshold)
-                taken = [batch.column(i).take(pa.array(rows)) for i in range(2)]
-                yield pa.RecordBatch.from_arrays([pa.array(nodes.view(np.int64)), *taken], ["node", "key", "known"])
+            tokens = _signatures(batch.column(2)).astype(np.uint64)
+            for tree, band in enumerate(bands):
+                nodes = np.full(len(tokens), mixed(np.array([tree + 1], np.uint64))[0])
+                for slot in band:
+                    nodes = mixed(nodes + tokens[:, slot])
+                yield pa.RecordBatch.from_arrays([pa.array(nodes.view(np.int64)), batch.column(0), batch.column(1)], ["node", "key", "known"])
 
     return classes.select("key", "known", "tokens").mapInArrow(branch, "node long, key binary, known binary")
 
@@ -148,11 +167,15 @@ def _children(rows: DataFrame, threshold: float) -> DataFrame:
     return rows.select("node", "key", "known", "tokens").mapInArrow(branch, "node long, key binary, known binary")
 
 
+def _group() -> Column:
+    """What a class is known to belong to; ``known`` is null where that is its own key."""
+    return F.coalesce("known", "key")
+
+
 def _open(level: DataFrame) -> DataFrame:
     """The rows of nodes that hold different groups, with the ``size`` of the node."""
-    sizes = level.groupBy("node").agg(
-        F.count(F.lit(1)).alias("size"), F.min("known").alias("low"), F.max("known").alias("high")
-    )
+    mark = F.xxhash64(_group())
+    sizes = level.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min(mark).alias("low"), F.max(mark).alias("high"))
     return level.join(sizes.filter("low != high").select("node", "size"), "node")
 
 
@@ -160,7 +183,7 @@ def _alike(nodes: DataFrame, classes: DataFrame, least: float) -> DataFrame:
     """Links (``a``, ``b``) between groups (``known``) that look alike in some members
     within a node of ``nodes`` (``node``, ``key``, ``known``): each group with the first
     that it is held together with."""
-    rows = nodes.join(classes.select("key", "bits"), "key").select("node", "known", "bits")
+    rows = nodes.join(classes.select("key", _low().alias("bits")), "key").select("node", _group().alias("known"), "bits")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -177,7 +200,7 @@ def _alike(nodes: DataFrame, classes: DataFrame, least: float) -> DataFrame:
         yield from _linked(held, least)
 
     ordered = rows.repartition("node").sortWithinPartitions("node")
-    return ordered.mapInArrow(compared, "a binary, b binary").distinct()
+    return ordered.mapInArrow(compared, "a binary, b binary")
 
 
 def _linked(batches: list[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
@@ -186,7 +209,7 @@ def _linked(batches: list[pa.RecordBatch], least: float) -> Iterator[pa.RecordBa
     rows = pa.Table.from_batches(batches).combine_chunks()
     nodes = rows.column("node").to_numpy()
     # a token's low byte tells most pairs apart; agreement by chance is taken off
-    tokens = _signatures(rows.column("bits"), np.uint8)
+    tokens = np.frombuffer(b"".join(rows.column("bits").to_pylist()), np.uint8).reshape(-1, SLOTS)
     need = SLOTS * (least + (1 - least) / 256)
     known = rows.column("known")
     packed = np.frombuffer(b"".join(known.to_pylist()), "S16")
@@ -219,46 +242,46 @@ def _linked(batches: list[pa.RecordBatch], least: float) -> Iterator[pa.RecordBa
     yield from pa.table({"a": first, "b": other}).to_batches()
 
 
-def _named(classes: DataFrame, links: list[DataFrame]) -> DataFrame:
-    """``classes`` with the group (``known``) in which the links hold each of them."""
-    groups = components(reduce(DataFrame.unionByName, links), "a", "b")
+def _named(classes: DataFrame, links: list[DataFrame], rounds: int) -> DataFrame:
+    """``classes`` with the group (``known``) in which so many rounds of the links hold
+    each of them. A group may be a part of what is held together: then more is compared."""
+    groups = components(reduce(DataFrame.unionByName, links), "a", "b", rounds)
     joined = classes.join(groups, classes["key"] == groups["node"], "left")
-    return joined.select("key", "tokens", F.coalesce("label", "key").alias("known"))
+    return joined.select("key", "tokens", F.when(F.col("label") != F.col("key"), F.col("label")).alias("known"))
 
 
 def _candidates(classes: DataFrame, threshold: float) -> DataFrame:
     """Links (``a``, ``b``) that hold together all classes (``key``, ``tokens``) which
     look alike in some node of some tree."""
-    least, links = threshold - MARGIN, []
-    named = classes.withColumn("known", F.col("key"))
-    for trees in (range(FIRST_TREES), range(FIRST_TREES, TREES)):
-        if links:
-            named = _named(classes, links)
-        level = stored(_roots(named, trees, threshold), "level")
-        # nodes that are done at each level, and those that branch again
-        for depth in range(1, LEVELS + 1):
-            met = stored(_open(level), "met")
-            links.append(stored(_alike(met.filter(F.col("size") <= SMALL_NODE), classes, least), "alike"))
-            large = met.filter(F.col("size") > SMALL_NODE)
-            if not large.limit(1).count():
-                break
-            if depth < LEVELS:
-                below = large.join(classes.select("key", "tokens"), "key")
-                level = stored(_children(below, threshold), "level")
-            else:
-                # each block by itself, then pairs of blocks, for links between what is left apart
-                links.append(stored(_alike(_blocks(large), classes, least), "alike"))
-                named = _named(classes, links).select("key", "known")
-                apart = _open(large.select("node", "key").join(named, "key"))
-                links.append(stored(_alike(_open(_block_pairs(apart)), classes, least), "alike"))
-    return reduce(DataFrame.unionByName, links).distinct()
+    least, bands = threshold - MARGIN, _bands(threshold)
+    named = classes.withColumn("known", F.lit(None).cast("binary"))
+    # the first tree's nodes are apart, and so are most links in them
+    met = stored(_open(_roots(named, bands[:1])), "met")
+    links = [stored(_alike(_blocks(met), classes, least), "alike")]
+    level = _roots(_named(classes, links, rounds=0), bands)
+    most = PAIR_ROWS * max(classes.count(), 10 * SMALL_NODE)
+    for depth in range(1, LEVELS + 1):
+        met = stored(_open(level), "met")
+        links.append(stored(_alike(_blocks(met), classes, least), "alike"))
+        large = met.filter(F.col("size") > SMALL_NODE).select("node", "key")
+        if not large.limit(1).count():
+            break
+        # groups that blocks left apart meet in pairs of blocks; if these are too many rows,
+        # their nodes branch before
+        renamed = _named(classes, links, ROUNDS).select("key", "known")
+        apart = stored(_open(large.join(renamed, "key")), "apart")
+        if depth == LEVELS or (apart.agg(F.sum(_block_of()[0])).first()[0] or 0) <= most:
+            links.append(stored(_alike(_open(_block_pairs(apart)), classes, least), "alike"))
+            break
+        level = _children(apart.join(classes.select("key", "tokens"), "key"), threshold)
+    return reduce(DataFrame.unionByName, links)
 
 
 def _confirmed(groups: DataFrame, size: int, percent: int) -> DataFrame:
     """Links between classes whose full sets have a similarity of ``percent`` or more:
     each class with the first it is linked to in its block, over all pairs of blocks.
 
-    ``groups``: ``group``, ``blocks`` (how many it has), ``key``, ``text``.
+    ``groups``: ``group``, ``blocks`` (how many it has), ``key``, ``text``; rows may repeat.
     """
     own = F.pmod(F.xxhash64("key"), F.col("blocks"))
     pairs = F.transform(
@@ -276,11 +299,13 @@ def _confirmed(groups: DataFrame, size: int, percent: int) -> DataFrame:
                 begin = 0
                 for i, stop in enumerate(upto.tolist()):
                     node = batch.column(0)[start + i].as_py()
+                    key = batch.column(1)[start + i].as_py()
                     if node != at:
                         yield from _links(keys, sets, percent)
                         at, keys, sets = node, [], []
-                    keys.append(batch.column(1)[start + i].as_py())
-                    sets.append(shingles(words[begin:stop], size))
+                    if not keys or keys[-1] != key:  # rows that repeat id and text follow each other
+                        keys.append(key)
+                        sets.append(shingles(words[begin:stop], size))
                     begin = stop
         yield from _links(keys, sets, percent)
 
@@ -346,24 +371,23 @@ def near_duplicates(
     threshold = percent / 100
     sketched = stored(_sketched(documents, size, id_column, text), "sketches")
     first = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("mark"), F.col("bytes"))
-    named = sketched.filter("key IS NOT NULL").groupBy("key").agg(F.min(first).alias("first"))
-    named = stored(named.select("key", *[F.col(f"first.{x}").alias(x) for x in ("id", "mark", "bytes")]), "classes")
-    same = named["id"].eqNullSafe(sketched["id"]) & (named["mark"] == sketched["mark"]) & (named["key"] == sketched["key"])
-    classes = stored(sketched.join(named, same, "left_semi").select("key", "tokens", "bits").dropDuplicates(["key"]), "tokens")
+    # equal sets have equal tokens
+    named = sketched.filter("key IS NOT NULL").groupBy("key").agg(F.min(first).alias("first"), F.first("tokens").alias("tokens"))
+    named = stored(named.select("key", "tokens", *[F.col(f"first.{x}").alias(x) for x in ("id", "mark", "bytes")]), "classes")
+    classes = named.select("key", "tokens")
 
-    alike = stored(_candidates(classes, threshold), "alike")
-    groups = stored(components(alike, "a", "b"), "groups")
+    groups = components(_candidates(classes, threshold), "a", "b")
     texts = documents.select(
         F.col(id_column).alias("id"), F.xxhash64(F.col(text)).alias("mark"), F.col(text).cast("string").alias("text")
     )
-    members = groups.join(named, groups["node"] == named["key"])
+    members = groups.join(named.drop("tokens"), groups["node"] == named["key"])
     members = members.select("key", F.col("label").alias("group"), "id", "mark", "bytes")
     extent = members.groupBy("group").agg(F.count(F.lit(1)).alias("m"), F.sum("bytes").alias("bytes"))
     blocks = F.ceil(F.greatest(F.col("m") / BLOCK, F.col("bytes") / BLOCK_BYTES)).alias("blocks")
     members = stored(members.drop("bytes").join(extent.select("group", blocks), "group"), "members").filter("blocks > 0")
     with _filtered_early(documents.sparkSession, members.count()):
         found = texts["id"].eqNullSafe(members["id"]) & (texts["mark"] == members["mark"])
-        full = texts.join(members, found).select("key", "group", "blocks", "text").dropDuplicates(["key"])
+        full = texts.join(members, found).select("key", "group", "blocks", "text")
         linked = stored(_confirmed(full, size, percent), "confirmed")
     linked = components(linked, "a", "b")
 
@@ -408,13 +432,13 @@ def _filtered_early(spark: SparkSession, keys: int) -> Iterator[None]:
 def _block_of() -> tuple[Column, Column]:
     """The number of blocks of a row's node, about half a small node each, and its own."""
     blocks = F.ceil(F.col("size") / (SMALL_NODE / 2)).cast("long")
-    return blocks, F.pmod(F.xxhash64("key"), blocks)
+    return blocks, F.pmod(F.xxhash64("node", "key"), blocks)
 
 
 def _blocks(rows: DataFrame) -> DataFrame:
-    """Nodes of any size as blocks."""
-    own = _block_of()[1]
-    return rows.select(F.xxhash64("node", own).alias("node"), "key", "known")
+    """Nodes of any size as blocks, small ones as they are."""
+    block = F.when(F.col("size") > SMALL_NODE, F.xxhash64("node", _block_of()[1])).otherwise(F.col("node"))
+    return rows.select(block.alias("node"), "key", "known")
 
 
 def _block_pairs(rows: DataFrame) -> DataFrame:

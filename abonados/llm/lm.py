@@ -55,6 +55,17 @@ def _part(keys: np.ndarray, parts: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
 
 
+def _packed_keys(keys: np.ndarray) -> bytes:
+    """Ordered keys as steps, byte by byte: the high bytes of steps are zeros, which a
+    shuffle compresses."""
+    return np.diff(keys, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _keys(held: bytes) -> np.ndarray:
+    steps = np.ascontiguousarray(np.frombuffer(held, np.uint8).reshape(8, -1).T).view("<u8")
+    return np.cumsum(steps.ravel(), dtype=np.uint64)
+
+
 def _entries(tokens: np.ndarray, pairs: np.ndarray, parts: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(kind, part, keys in order, their counts) of the distinct words and pairs."""
     for kind, found in ((0, tokens), (1, pairs)):
@@ -74,7 +85,7 @@ def _counted(blocks: DataFrame, parts: int) -> DataFrame:
         at, use = table.column("at")[0].as_py(), table.column("use")[0].as_py()
         tokens, ends = _tokens(table.column("text"))
         _, pairs = _grams(tokens, ends)
-        rows = [(at, use, k, p, keys.tobytes(), n.tobytes()) for k, p, keys, n in _entries(tokens, pairs, parts)]
+        rows = [(at, use, k, p, _packed_keys(keys), n.tobytes()) for k, p, keys, n in _entries(tokens, pairs, parts)]
         return pa.Table.from_pylist(
             [dict(zip(("at", "use", "kind", "part", "keys", "n"), row, strict=True)) for row in rows],
             pa.schema([("at", pa.int64()), ("use", pa.int32()), ("kind", pa.int32()), ("part", pa.int64()), ("keys", pa.binary()), ("n", pa.binary())]),
@@ -85,7 +96,7 @@ def _counted(blocks: DataFrame, parts: int) -> DataFrame:
     def count(table: pa.Table) -> pa.Table:
         kind, part = table.column("kind")[0].as_py(), table.column("part")[0].as_py()
         at, use = table.column("at").to_pylist(), np.array(table.column("use").to_pylist())
-        keys = [np.frombuffer(x, np.uint64) for x in table.column("keys").to_pylist()]
+        keys = [_keys(x) for x in table.column("keys").to_pylist()]
         own = np.concatenate([np.frombuffer(x, np.uint32) for x in table.column("n").to_pylist()]).astype(float)
         sizes = [len(x) for x in keys]
         tunes = (use == TUNE).tolist()

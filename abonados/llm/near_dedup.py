@@ -5,8 +5,9 @@ Every document has a set of word shingles and, of that, one minwise token for ea
 few slots enter the same node. Below, it branches on tokens: a document enters the children
 of the tokens that a random choice picks, about 1/threshold of its tokens, so documents that
 share many tokens meet in some child. Nodes that are small are compared exhaustively;
-larger ones are compared in blocks and, where these leave groups apart, in all pairs of
-blocks; if these would be too many rows, the nodes branch again before.
+larger ones are compared in blocks. Where these leave groups apart, all other rows of the
+node meet its largest group and one another in pairs of blocks; the largest group's own
+rows are not paired. If that would be too many rows, the nodes branch again before.
 Independent trees repeat this. Documents that look alike in some node are confirmed on
 their full sets, and confirmed links make components.
 
@@ -269,8 +270,8 @@ def _candidates(classes: DataFrame, threshold: float) -> DataFrame:
         # groups that blocks left apart meet in pairs of blocks; if these are too many rows,
         # their nodes branch before
         renamed = _named(classes, links, ROUNDS).select("key", "known")
-        apart = stored(_open(large.join(renamed, "key")), "apart")
-        if depth == LEVELS or (apart.agg(F.sum(_block_of()[0])).first()[0] or 0) <= most:
+        apart = stored(_parted(large.join(renamed, "key")), "apart")
+        if depth == LEVELS or (apart.agg(F.sum(F.size(_meetings()))).first()[0] or 0) <= most:
             links.append(stored(_alike(_open(_block_pairs(apart)), classes, least), "alike"))
             break
         level = _children(apart.join(classes.select("key", "tokens"), "key"), threshold)
@@ -429,27 +430,47 @@ def _filtered_early(spark: SparkSession, keys: int) -> Iterator[None]:
             spark.conf.set(key, value)
 
 
-def _block_of() -> tuple[Column, Column]:
-    """The number of blocks of a row's node, about half a small node each, and its own."""
-    blocks = F.ceil(F.col("size") / (SMALL_NODE / 2)).cast("long")
+def _block_of(size: str) -> tuple[Column, Column]:
+    """The number of blocks for so many rows of a node, about half a small node each, and
+    a row's own."""
+    blocks = F.ceil(F.col(size) / (SMALL_NODE / 2)).cast("long")
     return blocks, F.pmod(F.xxhash64("node", "key"), blocks)
 
 
 def _blocks(rows: DataFrame) -> DataFrame:
     """Nodes of any size as blocks, small ones as they are."""
-    block = F.when(F.col("size") > SMALL_NODE, F.xxhash64("node", _block_of()[1])).otherwise(F.col("node"))
+    block = F.when(F.col("size") > SMALL_NODE, F.xxhash64("node", _block_of("size")[1])).otherwise(F.col("node"))
     return rows.select(block.alias("node"), "key", "known")
 
 
-def _block_pairs(rows: DataFrame) -> DataFrame:
-    """Nodes of any size as pairs of blocks, so that every two documents of a node meet
-    in one pair."""
-    blocks, own = _block_of()
-    pairs = F.transform(
-        F.sequence(F.lit(0).cast("long"), blocks - 1),
-        lambda other: F.struct(F.least(own, other).alias("x"), F.greatest(own, other).alias("y")),
+def _parted(rows: DataFrame) -> DataFrame:
+    """The rows of nodes that hold different groups: ``main`` tells whether a row is of its
+    node's largest group, ``held`` how many are, and ``rest`` how many are not."""
+    mark = F.xxhash64(_group())
+    groups = rows.groupBy("node", mark.alias("mark")).agg(F.count(F.lit(1)).alias("held"))
+    sizes = groups.groupBy("node").agg(F.sum("held").alias("size"), F.max(F.struct("held", "mark")).alias("most"))
+    sizes = sizes.select("node", "most.*", (F.col("size") - F.col("most.held")).alias("rest"))
+    return rows.join(sizes.filter("rest > 0"), "node").select("node", "key", "known", (mark == F.col("mark")).alias("main"), "held", "rest")
+
+
+def _meetings() -> Column:
+    """The pairs of blocks that a row of ``_parted`` enters. Blocks of the largest group are
+    numbered from 0, others from -1 down."""
+    (blocks, own), (others, other) = _block_of("held"), _block_of("rest")
+    first = F.lit(0).cast("long")
+    main = F.transform(F.sequence(first, others - 1), lambda x: F.struct(own.alias("x"), (-1 - x).alias("y")))
+    met = F.transform(F.sequence(first, blocks - 1), lambda x: F.struct(x.alias("x"), (-1 - other).alias("y")))
+    among = F.transform(
+        F.sequence(first, others - 1),
+        lambda x: F.struct((-1 - F.least(x, other)).alias("x"), (-1 - F.greatest(x, other)).alias("y")),
     )
-    return rows.select(F.explode(pairs).alias("pair"), "node", "key", "known").select(
+    return F.when(F.col("main"), main).otherwise(F.concat(met, among))
+
+
+def _block_pairs(rows: DataFrame) -> DataFrame:
+    """Nodes of any size as pairs of blocks, so that every two documents of a node that are
+    of different groups meet in one pair."""
+    return rows.select(F.explode(_meetings()).alias("pair"), "node", "key", "known").select(
         F.xxhash64("node", "pair").alias("node"), "key", "known"
     )
 

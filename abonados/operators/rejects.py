@@ -21,8 +21,8 @@ REASONS = ("shape", "conversion", "range")
 REJECTED = "_rejected"
 
 
-def _text(value: Column) -> Column:
-    text = F.try_variant_get(value, "$", "string")
+def _given(text: Column) -> Column:
+    """The text, NULL where it is blank."""
     return F.when(F.trim(text) != "", text)
 
 
@@ -30,8 +30,11 @@ def number_reason(
     value: Column, dtype: str = P.MONEY, low: float | None = None, high: float | None = None,
     whole: bool = False, positive: bool = False,
 ) -> Column:
-    """Why a JSON value is no number of this kind; NULL if it is one or was not given."""
-    text, schema = _text(value), F.schema_of_variant(value)
+    """Why a JSON value is no number of this kind; NULL if it is one or was not given.
+
+    Most values convert, so that is asked first; what converts was given in an accepted shape.
+    """
+    text, schema = _given(F.try_variant_get(value, "$", "string")), F.schema_of_variant(value)
     accepted = D.is_number_schema(schema) | ((schema == "STRING") & text.rlike(V.SIGNED_NUMBER))
     number = P.rounded(value) if whole else P.parse_number(value, dtype)
     outside = [F.lit(False)]
@@ -40,33 +43,38 @@ def number_reason(
     if high is not None:
         outside.append(number > high)
     return (
-        F.when(text.isNull(), None)
+        F.when(number.isNotNull(), F.when(reduce(lambda a, b: a | b, outside), "range"))
+        .when(text.isNull(), None)
         .when(~F.coalesce(accepted, F.lit(False)), "shape")
-        .when(number.isNull(), "conversion")
-        .when(reduce(lambda a, b: a | b, outside), "range")
+        .otherwise("conversion")
     )
 
 
-def loose_number_reason(value: Column, dtype: str = P.MONEY) -> Column:
-    text = _text(value)
-    return F.when(text.isNotNull() & text.try_cast(dtype).isNull(), "conversion")
+def loose_number_reason(text: Column, dtype: str = P.MONEY) -> Column:
+    """Why the text of a field is no number."""
+    return F.when(text.try_cast(dtype).isNull() & _given(text).isNotNull(), "conversion")
 
 
-def timestamp_reason(value: Column) -> Column:
-    text = _text(value)
+def timestamp_reason(text: Column) -> Column:
+    """Why the text of a field is no timestamp; most are, so that is asked first."""
     return (
-        F.when(text.isNull(), None)
+        F.when(P.parse_timestamp(text).isNotNull(), None)
+        .when(_given(text).isNull(), None)
         .when(~P.has_timestamp_shape(text), "shape")
-        .when(P.parse_timestamp(text).isNull(), "conversion")
+        .otherwise("conversion")
     )
 
 
 def customer_reasons(document: Column) -> dict[str, Column]:
-    """By field of a document, why its value is not in the customer's row."""
+    """By field of a document, why its value is not in the customer's row. Fields that the
+    row reads as text are read as text here too: a scan builds no variants of them."""
 
     def value(key: str) -> Column:
         return D.field(document, key)
 
+    def text(key: str) -> Column:
+        return D.field_text(document, key)
+
     return {
         "customer_id": F.when(
             D.is_number(value("customer_id")) & P.given_customer_id(document).isNull(), "conversion"
@@ -75,25 +83,25 @@ def customer_reasons(document: Column) -> dict[str, Column]:
         "credit_score": number_reason(value("credit_score"), whole=True, low=0),
         "monthly_data_gb": number_reason(value("monthly_data_gb"), low=0),
         "monthly_bill_usd": number_reason(value("monthly_bill_usd")),
-        "registration_date": timestamp_reason(value("registration_date")),
-        "last_payment_date": timestamp_reason(value("last_payment_date")),
-        "credit_limit": loose_number_reason(value("credit_limit")),
-        "data_usage_current_month": loose_number_reason(value("data_usage_current_month")),
-        "latitude": loose_number_reason(value("latitude"), P.COORDINATE),
-        "longitude": loose_number_reason(value("longitude"), P.COORDINATE),
+        "registration_date": timestamp_reason(text("registration_date")),
+        "last_payment_date": timestamp_reason(text("last_payment_date")),
+        "credit_limit": loose_number_reason(text("credit_limit")),
+        "data_usage_current_month": loose_number_reason(text("data_usage_current_month")),
+        "latitude": loose_number_reason(text("latitude"), P.COORDINATE),
+        "longitude": loose_number_reason(text("longitude"), P.COORDINATE),
     }
 
 
 def payment_reasons(payment: Column) -> dict[str, Column]:
     """By field of a payment, why it is not in the payment's row, or the payment left out."""
     return {
-        "payment_date": timestamp_reason(D.field(payment, "date")),
+        "payment_date": timestamp_reason(D.field_text(payment, "date")),
         "payment_amount": number_reason(D.field(payment, "amount"), low=0, positive=True),
     }
 
 
 def service_reasons(document: Column) -> dict[str, Column]:
-    text = _text(D.field(document, "contracted_services"))
+    text = _given(D.field_text(document, "contracted_services"))
     lost = text.rlike(r"^\s*\[") & F.from_json(text, "array<string>").isNull()
     return {"contracted_services": F.when(lost, "shape")}
 

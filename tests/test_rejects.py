@@ -74,3 +74,18 @@ def test_counting_keeps_results_and_pruned_scans(spark, store):
     plain, counted = silver.customers(raw), silver.customers(raw, rejected=Observation())
     assert sorted(plain.collect(), key=str) == sorted(counted.collect(), key=str)
     assert "data:variant" not in counted._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1]
+
+
+def test_reasons_read_texts_as_the_row_does(spark):
+    """A field that the row reads as text was read as a variant once more for its reason."""
+    from abonados.operators import rejects as R
+
+    document = F.col("data")
+    reasons = {**R.customer_reasons(document), "payment_date": R.payment_reasons(document)["payment_date"]}
+    as_text = {"registration_date", "last_payment_date", "credit_limit", "data_usage_current_month", "latitude", "longitude", "payment_date"}
+    rows = spark.createDataFrame([(json.dumps(GOOD),)], "text string").select(F.parse_json("text").alias("data"))
+    for field in as_text:
+        found = rows.select(reasons[field].alias("reason"))
+        read = found._jdf.queryExecution().analyzed().toString()
+        assert "VariantType" not in read and "try_variant_get" not in read, field
+        assert found.first()["reason"] is None

@@ -112,9 +112,10 @@ def _member(name: str, text: Column) -> Column:
 def _accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer and block of order keys, with its orders.
 
-    Customers are joined to the blocks by an inner join, which adaptive execution
-    can split where one customer has very many blocks; customers without orders
-    come from an anti join.
+    Customers are joined to the blocks by an inner join of narrow rows, which adaptive
+    execution can split where one customer has very many blocks; customers without
+    orders come from an anti join. Both meet the orders by customer and block, as these
+    are gathered: gathered orders, the widest rows here, are not shuffled again.
     """
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").withColumnRenamed("o_custkey", "c_custkey")
@@ -123,11 +124,12 @@ def _accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
         service = F.when(F.col("o_orderpriority") == priority, code).otherwise(service)
     # Collecting shrinks nothing, so rows are spread by block before they are grouped.
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    block = F.expr(f"o_orderkey DIV {BLOCK}").alias("block")
     # Columns of an order travel, the longer JSON text is made where it is gathered.
     by_block = (
         orders.select(
             "c_custkey",
-            F.expr(f"o_orderkey DIV {BLOCK}").alias("block"),
+            block,
             "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "o_orderdate",
         )
         .repartition(tasks, "c_custkey", "block")
@@ -146,9 +148,10 @@ def _accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.max("o_orderdate").alias("last_order"),
         )
     )
-    buyers = orders.groupBy("c_custkey").agg(F.count("*").alias("orders"))
-    without_orders = customer.join(buyers, "c_custkey", "left_anti").withColumn("block", F.lit(0).cast("bigint"))
-    return by_block.join(customer, "c_custkey").unionByName(without_orders, allowMissingColumns=True)
+    blocks = orders.select("c_custkey", block).distinct()
+    without_orders = customer.join(blocks, "c_custkey", "left_anti").withColumn("block", F.lit(0).cast("bigint"))
+    buyers = customer.join(blocks, "c_custkey")
+    return by_block.join(buyers, ["c_custkey", "block"]).unionByName(without_orders, allowMissingColumns=True)
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from contract import documents, job_queries
@@ -35,3 +36,44 @@ def test_array_files_hold_whole_arrays_and_are_few(spark, tmp_path):
     files = list((tmp_path / "arrays").rglob("*.txt"))
     assert len(files) == 1
     assert json.loads(files[0].read_text()) == [{"a": i} for i in range(1, 5001)]
+
+
+def _pairs(spark, numbers, tasks):
+    """Documents that tell their row number, in this order, dealt evenly over so many tasks."""
+    rows = spark.createDataFrame([(n,) for n in numbers], "_row_id long").coalesce(1)
+    rows = rows.repartition(tasks) if tasks > 1 else rows
+    text = F.concat(F.lit('{"n": '), "_row_id", F.lit(', "text": "'), F.repeat(F.lit("word "), 200), F.lit('"}'))
+    return rows.select("_row_id", F.parse_json(text).alias("data"))
+
+
+def _numbers_by_file(spark, path):
+    lines = spark.read.text(str(path)).select(
+        F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("at"), F.expr("get_json_object(value, '$.n')").cast("long").alias("n"))
+    found = {}
+    for row in lines.orderBy("at").collect():
+        found.setdefault(row.file, []).append(row.n)
+    return found
+
+
+@pytest.mark.parametrize("tasks", [1, 2, 3])
+@pytest.mark.parametrize("numbers", [range(1, 61), range(60, 0, -1), [2, 5, 6, 7, 1]], ids=["in order", "backwards", "apart"])
+def test_copies_follow_each_other_in_lines(spark, tmp_path, numbers, tasks):
+    job_queries._write_lines(_pairs(spark, numbers, tasks), str(tmp_path / "lines"))
+    found = _numbers_by_file(spark, tmp_path / "lines")
+    assert sorted(n for held in found.values() for n in held) == sorted(numbers)
+    for held in found.values():
+        for n in held:
+            if n % 2 == 0 and n - 1 in numbers:
+                assert held.index(n - 1) == held.index(n) - 1
+
+
+def test_lines_are_small_and_documents_stay_where_they_lie(spark, tmp_path):
+    assert job_queries._copies_follow(_pairs(spark, range(1, 2001), 1))
+    assert not job_queries._copies_follow(_pairs(spark, range(2000, 0, -1), 1))
+    text = F.expr("parse_json('{\"text\": \"' || repeat('word ', 200) || '\"}')")
+    # seven tasks, which a shuffle would bring together
+    alone = spark.range(1, 2001, 2, 7).select(F.col("id").alias("_row_id"), text.alias("data"))
+    job_queries._write_lines(alone, str(tmp_path / "lines"))
+    files = list((tmp_path / "lines").glob("part-*"))
+    assert len(files) == 7
+    assert sum(f.stat().st_size for f in files) < 1000 * 1000 / 10

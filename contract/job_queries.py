@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ from contract.store import layer_store, scratch_store, table, tables
 
 AS_OF = docs.AS_OF
 ALL_STORED = (K.BRONZE, K.CUSTOMERS, K.PAYMENTS, K.SERVICES, K.DIM_SERVICES, K.ANALYTICS)
-#: Files are not small: each costs its creation, whatever it holds.
+#: Documents of an array file, about: each file costs its creation, whatever it holds.
 DOCUMENTS_PER_ARRAY_FILE = 20_000
 
 
@@ -48,14 +50,16 @@ def _write_lines(raw: DataFrame, path: str) -> None:
 def _write_arrays(raw: DataFrame, path: str) -> None:
     """The documents in files of one JSON array each, a line for each document.
 
-    Row numbers are unique, so an array holds no more documents than its block. Lines are
-    written one by one, no array is held in memory.
+    There are as many files as documents need, however sparse their row numbers are. Lines
+    are made after the shuffle and written one by one, no array is held in memory.
     """
-    rows = raw.select(F.expr(f"_row_id DIV {DOCUMENTS_PER_ARRAY_FILE}").alias("block"), "_row_id", F.to_json("data").alias("document"))
+    files = max(1, math.ceil(raw.count() / DOCUMENTS_PER_ARRAY_FILE))
+    rows = raw.select(F.pmod(F.hash("_row_id"), F.lit(files)).alias("block"), "_row_id", "data")
     within = Window.partitionBy("block").orderBy("_row_id")
     begin = F.when(F.lag("_row_id").over(within).isNull(), "[").otherwise(",")
     end = F.when(F.lead("_row_id").over(within).isNull(), "]").otherwise("")
-    lines = rows.select("block", F.concat(begin, "document", end).alias("value"))
+    marked = rows.withColumns({"begin": begin, "end": end})
+    lines = marked.select("block", F.concat("begin", F.to_json("data"), "end").alias("value"))
     lines.write.partitionBy("block").text(path)
 
 

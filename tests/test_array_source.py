@@ -93,3 +93,38 @@ def test_elements_are_parsed_once_after_the_sort(spark, tmp_path):
     above, below = optimized.split("Sort [file", 1)
     assert "parseJson" in above and "parseJson" not in below
     assert [json.loads(r[0]) for r in found.select(F.to_json("data")).collect()] == [{"a": 1}, {"b": "}"}]
+
+
+@pytest.mark.parametrize(("segment", "cell"), [(1, 1), (90, 3), (400, 7), (1 << 20, 4096)])
+def test_runs_of_elements_of_any_size(spark, ranges, tmp_path, monkeypatch, segment, cell):
+    monkeypatch.setattr(bronze, "SEGMENT_BYTES", segment)
+    monkeypatch.setattr(bronze, "CELL_CHUNKS", cell)
+    first, second = documents(70, seed=3), documents(20, seed=4)
+    (tmp_path / "b.json").write_text(json.dumps(second, indent=2))
+    (tmp_path / "a.json").write_text(json.dumps(first))
+    (tmp_path / "c.json").write_text("[]")
+    assert read(spark, tmp_path) == first + second
+    (tmp_path / "d.json").write_text('[{"a": 1} {"b": 2}]')
+    with pytest.raises(Exception, match="JSON|MALFORMED"):
+        read(spark, tmp_path)
+
+
+def test_texts_are_counted_once_and_shuffled_once(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"a": 1}, {"b": "}"}]')
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = bronze.read_arrays(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # one scan counts, the other has the texts, which go to their place in the order at once
+    assert plan.count("FileScan text") == 2
+    assert plan.count("Exchange rangepartitioning") == 1
+    assert plan.count("regexp_replace(chunk") + plan.count("regexp_replace(value") == 1
+    assert "collect_list(struct" in plan.split("Exchange rangepartitioning")[0]
+
+
+def test_an_element_keeps_its_own_keys_only(spark, tmp_path):
+    """Elements are parsed together, and yet none carries the keys of others."""
+    (tmp_path / "a.json").write_text(json.dumps([{f"key{i}": i} for i in range(50)]))
+    rows = bronze.read_arrays(spark, str(tmp_path)).collect()
+    assert [bytes(r[0].metadata).count(b"key") for r in rows] == [1] * 50

@@ -77,3 +77,20 @@ def test_lines_are_small_and_documents_stay_where_they_lie(spark, tmp_path):
     files = list((tmp_path / "lines").glob("part-*"))
     assert len(files) == 7
     assert sum(f.stat().st_size for f in files) < 1000 * 1000 / 10
+
+
+def test_array_files_are_few_however_sparse_row_numbers_are(spark, tmp_path):
+    raw = spark.range(500).select((F.col("id") * 1_000_003 + 1).alias("_row_id"), F.expr("parse_json('{\"a\": ' || id || '}')").alias("data"))
+    job_queries._write_arrays(raw, str(tmp_path / "arrays"))
+    files = list((tmp_path / "arrays").rglob("*.txt"))
+    assert len(files) == 1
+    assert json.loads(files[0].read_text()) == [{"a": i} for i in range(500)]
+
+
+def test_many_array_files_hold_every_document_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(job_queries, "DOCUMENTS_PER_ARRAY_FILE", 100)
+    raw = spark.range(1, 2001).select(F.col("id").alias("_row_id"), F.expr("parse_json('{\"a\": ' || id || '}')").alias("data"))
+    job_queries._write_arrays(raw, str(tmp_path / "arrays"))
+    files = list((tmp_path / "arrays").rglob("*.txt"))
+    assert 10 <= len(files) <= 20
+    assert sorted(d["a"] for f in files for d in json.loads(f.read_text())) == list(range(1, 2001))
